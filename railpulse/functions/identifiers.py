@@ -21,9 +21,13 @@ def direction_of(stop_id: Column) -> Column:
 
 
 def trip_origin_minutes(trip_id: Column) -> Column:
-    """Minutes after midnight at the origin, from the hundredths in a trip id."""
-    hundredths = F.split_part(trip_id, F.lit("_"), F.lit(1)).try_cast("int")
-    return hundredths.cast("double") / F.lit(100.0)
+    """Minutes after midnight at the origin, from the hundredths in a trip id.
+
+    Text before the first underscore that is no number gives null; a fraction
+    of a hundredth is rounded.
+    """
+    number = F.split_part(trip_id, F.lit("_"), F.lit(1)).try_cast("decimal(38,18)")
+    return F.round(number, 0).try_cast("int").cast("double") / F.lit(100.0)
 
 
 def origin_clock(minutes: Column) -> Column:

@@ -16,7 +16,7 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from railpulse.functions.clock import hour_floor
@@ -63,6 +63,11 @@ def _support(cells: DataFrame) -> DataFrame:
     )
 
 
+def _or_nothing(deviation: Column) -> Column:
+    """Rain is told in tenths of a millimetre; less than this is rounding."""
+    return F.when(F.abs(deviation) < 1e-9, F.lit(0.0)).otherwise(deviation)
+
+
 def _fit(cells: DataFrame) -> DataFrame:
     """Slope, robust standard error and R squared per route.
 
@@ -75,7 +80,7 @@ def _fit(cells: DataFrame) -> DataFrame:
     n, x, y = F.col("n"), F.col("x"), F.col("y")
     centred = (
         cells.withColumn("n_hour", F.sum(n).over(hour))
-        .withColumn("dx", x - F.sum(n * x).over(hour) / F.col("n_hour"))
+        .withColumn("dx", _or_nothing(x - F.sum(n * x).over(hour) / F.col("n_hour")))
         .withColumn("dy", y - F.sum(n * y).over(hour) / F.col("n_hour"))
         .withColumn("y_route", F.sum(n * y).over(route) / F.sum(n).over(route))
         .withColumn("sxx", F.sum(n * F.col("dx") * F.col("dx")).over(route))
@@ -85,14 +90,16 @@ def _fit(cells: DataFrame) -> DataFrame:
     dx = F.col("dx")
     miss = F.col("dy") - F.col("slope") * dx
     squared = F.col("within") + n * miss * miss
-    leverage = F.lit(1.0) / F.col("n_hour") + dx * dx / F.col("sxx")
+    leverage = F.lit(1.0) / F.col("n_hour") + F.try_divide(dx * dx, F.col("sxx"))
     # A row whose rain is the mean of its hour weighs nothing, including one
-    # alone in its hour, whose leverage is 1.
-    robust = F.when(dx != 0, dx * dx * squared / F.pow(F.lit(1.0) - leverage, F.lit(2))).otherwise(0.0)
+    # alone in its hour, whose leverage is 1. Any other row with a leverage of
+    # 1 decides the slope by itself, and the error is unbounded.
+    weight = F.try_divide(dx * dx * squared, F.pow(F.lit(1.0) - leverage, F.lit(2)))
+    robust = F.when(dx != 0, F.coalesce(weight, F.lit(math.inf))).otherwise(0.0)
     off = y - F.col("y_route")
     return centred.groupBy("route_id").agg(
         F.first("slope").alias("slope"),
-        (F.sqrt(F.sum(robust)) / F.first("sxx")).alias("std_error"),
+        F.try_divide(F.sqrt(F.sum(robust)), F.first("sxx")).alias("std_error"),
         (
             F.lit(1.0) - F.try_divide(F.sum(squared), F.sum(F.col("within") + n * off * off))
         ).alias("r_squared"),

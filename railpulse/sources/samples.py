@@ -148,3 +148,77 @@ def weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r.temperature_2m").alias("temperature_2m"),
         F.col("r.wind_speed_10m").alias("wind_speed_10m"),
     ).alias("hourly"))
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as nested feed messages.
+
+    A message holds the events of a type among 64 in a row, so its arrays are
+    short whatever the volume: an entity per user, a stop per event. Codes,
+    empty strings, zero times and missing parts occur as they do on the wire.
+    Every fourth message was fetched again unchanged, and every eighth one after
+    that with an older header and then as it was.
+    """
+    e, u = F.col("event_id"), F.col("user_id")
+    predicted = F.when(e % 17 == 0, F.lit(0)).otherwise(F.col("t") + F.col("v") * 4 - 60).cast("long")
+    stop = F.struct(
+        _stop().alias("stop_id"),
+        F.struct(predicted.alias("time")).alias("arrival"),
+        F.struct(F.when(predicted == 0, 0).otherwise(predicted + 30).cast("long").alias("time")).alias("departure"),
+        (e % 6).cast("int").alias("schedule_relationship"),
+        F.when(e % 19 != 0, F.struct(
+            (e % 4).cast("string").alias("scheduled_track"),
+            F.when(e % 2 == 0, (e % 4).cast("string")).otherwise("").alias("actual_track"),
+        )).alias("ext"),
+    )
+    message = ["event_type", "message"]
+    entities = (
+        _events(spark, sf_dir)
+        .withColumn("message", F.floor(e / 64))
+        .groupBy(*message, "user_id")
+        .agg(
+            F.array_sort(F.collect_list(F.struct(e.alias("event_id"), stop.alias("stop")))).alias("stops"),
+            F.max("t").alias("t"),
+        )
+    )
+    trip = F.struct(
+        F.when(u % 29 == 0, "").otherwise(_trip()).alias("trip_id"),
+        F.col("event_type").alias("route_id"),
+        _start_date().alias("start_date"),
+        F.when(u % 13 != 0, F.struct(
+            F.when(u % 17 == 0, "").otherwise(F.concat(F.lit("train-"), u.cast("string"))).alias("train_id"),
+            (u % 3 == 0).alias("is_assigned"),
+            (u % 6).cast("int").alias("direction"),
+        )).alias("ext"),
+    )
+    vehicle, alert = u % 7 == 3, u % 11 == 5
+    entity = F.struct(
+        u.cast("string").alias("id"),
+        F.when(~vehicle & ~alert, F.struct(
+            trip.alias("trip"), F.col("stops.stop").alias("stop_time_update"),
+        )).alias("trip_update"),
+        F.when(vehicle, F.struct(F.col("stops")[0]["stop"]["stop_id"].alias("stop_id"))).alias("vehicle"),
+        F.when(alert, F.struct(F.lit("delays").alias("header_text"))).alias("alert"),
+    )
+    messages = entities.select(*message, "t", "user_id", entity.alias("entity")).groupBy(*message).agg(
+        F.array_sort(F.collect_list(F.struct("user_id", "entity"))).alias("listed"),
+        F.max("t").alias("made"),
+    )
+    number = F.col("message")
+    fetches = (
+        F.when(number % 8 == 0, F.array(*map(F.lit, (0, 1, 2, 3))))
+        .when(number % 4 == 0, F.array(F.lit(0), F.lit(1)))
+        .otherwise(F.array(F.lit(0)))
+    )
+    fetched = messages.select("*", F.explode(fetches).alias("fetch"))
+    header = (
+        F.when(number % 50 == 7, 0)
+        .when(F.col("fetch") == 2, F.col("made") - 30)
+        .otherwise(F.col("made")).cast("long")
+    )
+    return fetched.select(
+        F.col("event_type").alias("feed_id"),
+        (F.col("made") + F.lit(3.25) + F.col("fetch") * F.lit(5.5)).alias("fetched_at"),
+        F.struct(header.alias("timestamp")).alias("header"),
+        F.col("listed.entity").alias("entity"),
+    )
