@@ -19,7 +19,7 @@ from railpulse.operators import arrivals as arrival_ops
 from railpulse.operators import headways as headway_ops
 from railpulse.operators import sightings as sighting_ops
 from railpulse.operators.dimensions import dim_routes, dim_stations
-from railpulse.operators.keyed import join_lookup, upsert
+from railpulse.operators.keyed import join_lookup, measured, upsert
 from railpulse.operators.sightings import PAIR
 from railpulse.operators.staging import NATURAL_KEY, preference_key, stage
 from railpulse.params import DEFAULTS, Params
@@ -149,7 +149,7 @@ class Warehouse:
             t.overwrite(dim_routes(routes, self.staged()), self._path("dim_routes"))
 
     def _write_fact(self, name: str, df: DataFrame) -> None:
-        t.overwrite(t.require_schema(df, FACTS[name], name), self._path(name), "service_date_raw")
+        t.overwrite(t.require_schema(df, FACTS[name], name), self._path(name))
 
     # -- incremental update --------------------------------------------------
 
@@ -241,16 +241,13 @@ class Warehouse:
         with its sighting.
         """
         staged, held = self._existing(self._stored_staged()), self._stored_sightings()
-        previous = None if held is None else t.write_and_read(
-            sighting_ops.previous_progress(held), self._path("_work/progress")
-        )
-        least = None if previous is None else previous.agg(F.min("seen_through")).first()[0]
-        if least is None:
+        previous = None if held is None else self._progress(held)
+        since = None if previous is None else previous.agg(F.to_date(clock.shift(
+            F.min("seen_through"), hours=-self.params.incremental_lookback_hours
+        ))).first()[0]
+        if since is None:
             self.rebuild_sightings()
             return
-        since = previous.agg(
-            F.to_date(clock.shift(F.min("seen_through"), hours=-self.params.incremental_lookback_hours))
-        ).first()[0]
         recent = staged.where(F.col("observed_date") >= F.lit(since))
         touched = t.write_and_read(
             self._with_progress(recent, previous)
@@ -287,6 +284,12 @@ class Warehouse:
             self._path("int_last_sightings"), "service_date_raw",
         )
 
+    def _progress(self, held: DataFrame) -> DataFrame:
+        """Progress per feed, read from the sightings once."""
+        progress = sighting_ops.previous_progress(held)
+        small = measured(progress)
+        return small if small is not None else t.write_and_read(progress, self._path("_work/progress"))
+
     def _with_progress(self, staged: DataFrame, previous: DataFrame) -> DataFrame:
         return join_lookup(staged.where(sighting_ops.can_arrive()), previous, ["feed_id"], "left")
 
