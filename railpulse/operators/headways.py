@@ -41,11 +41,13 @@ def sequence_arrivals(
     trip = F.struct(F.col("trip_id").isNull().alias("unknown"), F.col("trip_id").alias("id"))
     keys = [*by, *PLATFORM]
     if params.min_headway_minutes > 0:
-        moments = arrivals.groupBy(*keys, "inferred_arrival").agg(
+        moments = arrivals.groupBy(
+            F.xxhash64(*keys, "inferred_arrival").alias("_hash"), *keys, "inferred_arrival"
+        ).agg(
             F.min(trip).alias("first"),
             F.max(trip).alias("last"),
             F.count(F.lit(1)).alias("arrivals"),
-        )
+        ).drop("_hash")
     else:
         moments = arrivals.select(
             *keys, "inferred_arrival", trip.alias("first"), trip.alias("last"),
@@ -61,8 +63,8 @@ def sequence_arrivals(
         "*",
         own.alias("own"),
         F.explode(F.when(in_reach_of_next, F.array(own, own + 1)).otherwise(F.array(own))).alias("slice"),
-    )
-    order = Window.partitionBy(*keys, "slice").orderBy("inferred_arrival", "first")
+    ).withColumn("_hash", F.xxhash64(*keys, "slice"))
+    order = Window.partitionBy("_hash", *keys, "slice").orderBy("inferred_arrival", "first")
     return (
         sliced.select(
             "*",

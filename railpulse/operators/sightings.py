@@ -10,7 +10,7 @@ from railpulse.schema import SIGHTINGS_SCHEMA
 
 PAIR = ["service_date_raw", "trip_id", "stop_id"]
 
-# Describe a pair and hardly ever change during its life.
+# What the last observation says of a pair, besides its prediction.
 _TRAITS = ["feed_id", "route_id", "train_id", "direction", "scheduled_track", "actual_track"]
 
 
@@ -40,33 +40,30 @@ def landing_watermark(landing: DataFrame) -> DataFrame:
 def latest_by_pair(observations: DataFrame, touched: Column | None = None) -> DataFrame:
     """The last observation of every pair, and how many there were.
 
-    Done in two aggregations. The first groups by pair and traits, keeps only
-    fixed-width buffers and so runs as a hash aggregation that shrinks a pair's
-    observations (about 170 of them) before anything is shuffled, however many
-    rows a single pair has. The second picks among the few trait sets a pair
-    has gone through: latest observation first, then feed id.
+    One aggregation and one shuffle. Each input partition folds the
+    observations it has of a pair (there are about 170 in all) before anything
+    is shuffled, however many rows a single pair has. The smallest struct is the
+    latest observation; of two at one instant, the one with the smaller feed
+    id. The hash of the pair leads the grouping so that the sort under it
+    compares numbers and seldom strings.
     """
     mark = F.max(touched) if touched is not None else F.lit(True)
-    by_traits = observations.where(can_arrive()).groupBy(*PAIR, *_TRAITS).agg(
-        F.max("observed_at").alias("last_seen_at"),
-        F.max_by("predicted_arrival", "observed_at").alias("last_predicted_arrival"),
-        F.min("observed_at").alias("first_seen_at"),
-        F.count(F.lit(1)).alias("observations"),
-        mark.alias("touched"),
-    )
     latest = F.min(F.struct(
-        (-F.unix_micros("last_seen_at")).alias("recency"),
-        *_TRAITS, "last_seen_at", "last_predicted_arrival",
+        (-F.unix_micros("observed_at")).alias("recency"),
+        *_TRAITS,
+        F.col("predicted_arrival").alias("last_predicted_arrival"),
     ))
     return (
-        by_traits.groupBy(*PAIR)
+        observations.where(can_arrive())
+        .groupBy(F.xxhash64(*PAIR).alias("_hash"), *PAIR)
         .agg(
             latest.alias("latest"),
-            F.min("first_seen_at").alias("first_seen_at"),
-            F.sum("observations").alias("observations_of_pair"),
-            F.max("touched").alias("touched"),
+            F.min("observed_at").alias("first_seen_at"),
+            F.count(F.lit(1)).alias("observations_of_pair"),
+            mark.alias("touched"),
         )
         .select(*PAIR, "latest.*", "first_seen_at", "observations_of_pair", "touched")
+        .withColumn("last_seen_at", F.timestamp_micros(-F.col("recency")))
         .drop("recency")
     )
 
