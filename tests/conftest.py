@@ -23,7 +23,7 @@ def spark():
         "spark.sql.shuffle.partitions": "2",
         "spark.default.parallelism": "2",
         "spark.driver.memory": "4g",
-        "spark.sql.codegen.wholeStage": "false",
+        "spark.sql.maxMetadataStringLength": "5000",
     })
     yield session
     session.stop()
