@@ -180,7 +180,7 @@ CTES |= {
     "trip_dates": "select feed_id, message, user_id, max(t) as t from parts group by 1, 2, 3",
     "fetches": """select feed_id, message, made, attempt,
          case when message % 50 = 7 then 0 when attempt = 2 then made - 30 else made end as header,
-         made + 3.25 + attempt * 5.5 as fetched_at
+         cast(made + 3.25 + attempt * 5.5 as double) as fetched_at
          from made, (select unnest([0, 1, 2, 3]) as attempt) a
          where attempt = 0 or (message % 4 = 0 and attempt = 1) or (message % 8 = 0)""",
     "kept": """select * exclude (before) from (select *,
@@ -238,7 +238,7 @@ _FE_COLUMNS = """service_date_raw, route_id, stop_id, station_id, platform_direc
   hour_of_day, day_of_week, headways, round(mean_headway_minutes, 9) as mean_headway_minutes,
   round(min_headway_minutes, 9) as min_headway_minutes, round(max_headway_minutes, 9) as max_headway_minutes,
   round(rider_wait_minutes, 9) as rider_wait_minutes, round(even_wait_minutes, 9) as even_wait_minutes,
-  round(excess_wait_minutes, 9) as excess_wait_minutes"""
+  round(excess_wait_minutes, 9) + 0.0 as excess_wait_minutes"""
 
 
 def _rain(min_headways: int) -> str:
@@ -263,10 +263,10 @@ judged as (select *, case when n < 60 then cast(n as varchar) || ' route-hours'
   when kinds < 2 then 'no variation in rainfall'
   when slope is null then 'no variation within hours' end as why from support left join fits using (route_id))
 select route_id, case when why is null then 'fitted' else 'insufficient' end as status, why,
-  case when why is null then round(slope, 6) end as minutes_per_mm,
+  case when why is null then round(slope, 6) + 0.0 end as minutes_per_mm,
   case when why is null then round(se, 6) end as std_error,
-  case when why is null then round(slope - 1.959963984540054 * se, 6) end as ci_low,
-  case when why is null then round(slope + 1.959963984540054 * se, 6) end as ci_high, n,
+  case when why is null then round(slope - 1.959963984540054 * se, 6) + 0.0 end as ci_low,
+  case when why is null then round(slope + 1.959963984540054 * se, 6) + 0.0 end as ci_high, n,
   case when why is null then wet end as wet_hours, case when why is null then round(r2, 6) end as r_squared,
   case when why is null then abs(slope) <= 1.959963984540054 * se end as straddles_zero
 from judged""", "wx")
@@ -319,7 +319,7 @@ _DIRECTORIES = f"""strftime({_local('observed_at')}, '%Y-%m-%d') as dt,
   cast(extract(hour from {_local('observed_at')}) as integer) as hour"""
 _DATE = "strftime(make_timestamp(observed_at * 1000000), '%Y-%m-%d')"
 
-_EQUAL = """select 'stg_stop_time_updates' as table_name, 0 as only_left, 0 as only_right
+_EQUAL = """select 'stg_stop_time_updates' as table_name, cast(0 as bigint) as only_left, cast(0 as bigint) as only_right
   union all select 'int_last_sightings', 0, 0 union all select 'fct_arrivals', 0, 0
   union all select 'fct_headways', 0, 0 union all select 'fct_excess_wait', 0, 0"""
 

@@ -43,7 +43,8 @@ def comparable(df: DataFrame, places: int = 9) -> DataFrame:
         elif isinstance(field.dataType, T.DateType):
             column = F.date_format(column, "yyyy-MM-dd")
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            column = F.round(column.cast("double"), places if isinstance(field.dataType, T.DoubleType) else 4)
+            shown = places if isinstance(field.dataType, T.DoubleType) else 4
+            column = F.round(column.cast("double"), shown) + F.lit(0.0)
         return column.alias(field.name)
 
     return df.select(*[plain(f) for f in df.schema])
