@@ -19,7 +19,7 @@ from railpulse.operators import arrivals as arrival_ops
 from railpulse.operators import headways as headway_ops
 from railpulse.operators import sightings as sighting_ops
 from railpulse.operators.dimensions import dim_routes, dim_stations
-from railpulse.operators.keyed import join_lookup, measured, upsert
+from railpulse.operators.keyed import BROADCAST_ROWS, join_lookup, measured, upsert
 from railpulse.operators.sightings import PAIR
 from railpulse.operators.staging import NATURAL_KEY, preference_key, stage
 from railpulse.params import DEFAULTS, Params
@@ -252,10 +252,10 @@ class Warehouse:
         touched = t.write_and_read(
             self._with_progress(recent, previous)
             .where(sighting_ops.touched_since(self.params.incremental_lookback_hours))
-            .groupBy(*PAIR).agg(F.min("observed_at").alias("first_touched_at")),
+            .select(*PAIR).distinct(),
             self._path("_work/touched"),
         )
-        earliest = held.alias("held").join(
+        earliest = _of_service_dates(held, touched).alias("held").join(
             touched.alias("touched"),
             F.expr(" and ".join(f"held.{k} <=> touched.{k}" for k in PAIR)),
             "left_semi",
@@ -275,12 +275,13 @@ class Warehouse:
         )
         if recomputed.isEmpty():
             return
-        dates = recomputed.select("service_date_raw").distinct()
-        concerned = held.alias("held").join(
-            dates.alias("dates"), F.expr("held.service_date_raw <=> dates.service_date_raw"), "left_semi"
-        ).select(*STORED_SIGHTINGS.fieldNames())
+        concerned = _of_service_dates(held, recomputed)
         t.replace_partitions(
-            upsert(concerned, recomputed.select(*STORED_SIGHTINGS.fieldNames()), PAIR),
+            upsert(
+                concerned.select(*STORED_SIGHTINGS.fieldNames()),
+                recomputed.select(*STORED_SIGHTINGS.fieldNames()),
+                PAIR,
+            ),
             self._path("int_last_sightings"), "service_date_raw",
         )
 
@@ -303,5 +304,23 @@ class Warehouse:
         t.replace_partitions(held, self._path("stg_stop_time_updates"), "observed_date")
 
 
+def _of_service_dates(held: DataFrame, rows: DataFrame) -> DataFrame:
+    """The held rows of the service dates that occur in ``rows``.
+
+    A few dates become literals, which prune folders; very many become a join.
+    """
+    dates = rows.select("service_date_raw").distinct()
+    found = dates.limit(BROADCAST_ROWS + 1).collect()
+    if len(found) > BROADCAST_ROWS:
+        return held.alias("held").join(
+            dates.alias("dates"),
+            F.expr("held.service_date_raw <=> dates.service_date_raw"),
+            "left_semi",
+        )
+    date = F.col("service_date_raw")
+    chosen = date.isin([r[0] for r in found if r[0] is not None])
+    return held.where(chosen | date.isNull() if any(r[0] is None for r in found) else chosen)
+
+
 def _dated(staged: DataFrame) -> DataFrame:
     return staged.withColumn("observed_date", F.to_date("observed_at"))
