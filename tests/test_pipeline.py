@@ -89,10 +89,12 @@ def test_routes_keep_the_published_ones(built):
     assert routes["Z"].trips_observed == 0 and routes["Z"].first_observed_at is None
 
 
-def test_every_assertion_holds(built):
+def test_every_assertion_holds_but_for_the_unreadable_position(built):
+    """The stop list publishes T09 with a position that is no number."""
     report = quality.quality_report(built.tables())
     assert report.count() == 59
-    assert report.where("violations > 0").collect() == []
+    found = {(r.table_name, r.column_name): r.violations for r in report.where("violations > 0").collect()}
+    assert found == {("dim_stations", "latitude"): 1, ("dim_stations", "longitude"): 1}
 
 
 def test_tables_answer_sql_by_name(spark, built):
