@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railpulse.llm import arc, decontaminate, packing, pii, toxicity
+from railpulse.llm import arc, decontaminate, language, packing, pii, toxicity
 from railpulse.llm import oracle as sql
 from railpulse.llm.common import documents
 from railpulse.session import prepare
@@ -23,6 +23,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_id(documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
 
@@ -42,7 +46,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_toxicity, op7_packing, op8_pii, op9_warc, op10_decontamination]
+    found = [op1_toxicity, op4_language, op7_packing, op8_pii, op9_warc, op10_decontamination]
 
     def pinned(work):
         return lambda spark, sf_dir: work(prepare(spark), sf_dir)
