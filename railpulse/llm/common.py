@@ -65,7 +65,8 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts of a column, and where each begins (one more than texts)."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    binary = pa.types.is_binary(column.type)
+    column = pc.fill_null(column.cast(pa.large_binary() if binary else pa.large_string()), b"" if binary else "")
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]

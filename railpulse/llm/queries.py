@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railpulse.llm import arc, decontaminate, embeddings, html_text, language, packing, pii, toxicity
+from railpulse.llm import arc, decontaminate, embeddings, html_text, language, packing, pii, repeats, toxicity
 from railpulse.llm import oracle as sql
 from railpulse.llm.common import documents
 from railpulse.session import prepare
@@ -31,6 +31,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_id(documents(spark, sf_dir))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -54,7 +58,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_toxicity, op3_html, op4_language, op6_embeddings, op7_packing, op8_pii, op9_warc, op10_decontamination]
+    found = [op1_toxicity, op3_html, op4_language, op5_repeats, op6_embeddings, op7_packing, op8_pii, op9_warc, op10_decontamination]
 
     def pinned(work):
         return lambda spark, sf_dir: work(prepare(spark), sf_dir)
