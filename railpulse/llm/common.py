@@ -18,6 +18,7 @@ from railpulse.session import scratch_path
 
 SHINGLE_WORDS = 5
 BATCH_ROWS = 512
+BROADCAST_KEYS = 200_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}
@@ -43,6 +44,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def only(rows: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """``rows`` joined to a table of few bytes per key.
+
+    ``keys`` are broadcast if they were counted to be few; otherwise both sides are shuffled.
+    """
+    small = keys.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
+    return rows.join(F.broadcast(keys) if small else keys, key, how)
+
+
 def over_batches(
     df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
 ) -> DataFrame:

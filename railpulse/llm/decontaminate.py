@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from railpulse.llm.common import SHINGLE_WORDS, Words, mixed, over_batches, small_batches, utf8, whole_hash
+from railpulse.llm.common import SHINGLE_WORDS, Words, mixed, only, over_batches, small_batches, stored, utf8, whole_hash
 
 THRESHOLD = 0.75
 BLOCK_WORDS = 2_000_000
@@ -159,5 +159,5 @@ def _search(docs: DataFrame, index: Index) -> DataFrame:
 
 def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents without those that contain an item."""
-    found = find_contained(docs, items, threshold).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    found = stored(find_contained(docs, items, threshold).select("doc_id").distinct(), "contaminated")
+    return only(docs, found, "doc_id", "left_anti").select(*docs.columns)

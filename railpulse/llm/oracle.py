@@ -48,5 +48,28 @@ FROM shared JOIN sizes USING (item_id) WHERE n_found >= 0.75 * n_shingles
 """
 
 
+OP2 = f"""
+WITH RECURSIVE sets AS ({_shingles('documents', 'doc_id')}),
+sizes AS (
+  SELECT documents.doc_id, count(shingle) AS n FROM documents LEFT JOIN sets USING (doc_id) GROUP BY documents.doc_id
+),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_shared
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * n_shared >= 75 * (x.n + y.n - n_shared)
+),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sizes
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+)
+SELECT doc_id, any_value(n) AS n_shingles, min(other) AS component_id
+FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
 def oracle() -> dict[str, str]:
-    return {"op9_warc": OP9, "op10_decontamination": OP10}
+    return {"op2_ngram_join": OP2, "op9_warc": OP9, "op10_decontamination": OP10}

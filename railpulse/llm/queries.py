@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railpulse.llm import arc, decontaminate, embeddings, html_text, language, packing, pii, repeats, toxicity
+from railpulse.llm import arc, decontaminate, embeddings, html_text, language, ngram_join, packing, pii, repeats, toxicity
 from railpulse.llm import oracle as sql
 from railpulse.llm.common import documents
 from railpulse.session import prepare
@@ -23,6 +23,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(documents(spark, sf_dir))
+
+
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -58,7 +62,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_toxicity, op3_html, op4_language, op5_repeats, op6_embeddings, op7_packing, op8_pii, op9_warc, op10_decontamination]
+    found = [op1_toxicity, op2_ngram_join, op3_html, op4_language, op5_repeats, op6_embeddings, op7_packing, op8_pii, op9_warc, op10_decontamination]
 
     def pinned(work):
         return lambda spark, sf_dir: work(prepare(spark), sf_dir)
