@@ -18,7 +18,7 @@ from railpulse.session import scratch_path
 
 SHINGLE_WORDS = 5
 BATCH_ROWS = 512
-BROADCAST_KEYS = 200_000
+BROADCAST_KEYS = 500_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}

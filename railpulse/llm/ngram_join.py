@@ -175,31 +175,28 @@ def unpacked(sketches: np.ndarray) -> np.ndarray:
     return np.stack([sketches >> 4, sketches & 15], axis=2).reshape(len(sketches), -1).astype(np.int8)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, ids: DataFrame, sifted: bool = False) -> DataFrame:
-    """The links among candidate ``pairs`` (a, b). ``ids`` (id, _k) names a row of ``docs`` for each id.
+def verified(pairs: DataFrame, docs: DataFrame, sifted: bool = False) -> DataFrame:
+    """The links among candidate ``pairs`` (a, b) of ``docs`` (id, text).
 
-    Unless the pairs are ``sifted`` already, counts by hash range rule out most of them before whole sets are brought
-    together.
+    Unless the pairs are ``sifted`` already, counts by hash range rule out most of them before whole texts are brought
+    together. Texts travel, not their sets, as they compress and hashes do not.
     """
     pairs = stored(pairs, "candidates")
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    chosen = stored(ids.join(wanted, "id", "left_semi"), "candidate-rows")
 
-    def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+        return only(docs, stored(wanted, "candidate-ids"), "id", "left_semi").select("id", "text")
+
+    def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = sets_of(batch.column("text"))
         return pa.RecordBatch.from_arrays(
-            [batch.column("_k"), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary()),
-             pa.array([s.tobytes() for s in sets], pa.binary())], ["_k", "n", "sketch", "hashes"],
+            [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())],
+            ["id", "n", "sketch"],
         )
 
-    rows = only(docs, chosen.select("_k"), "_k", "left_semi").select("text", "_k")
-    sets = over_batches(rows, pack, "_k long, n long, sketch binary, hashes binary").join(chosen, "_k").drop("_k")
-    sets = stored(sets.dropDuplicates(["id"]), "candidate-sets")
-
-    def brought(pairs: DataFrame, *columns: str) -> DataFrame:
+    def brought(pairs: DataFrame, rows: DataFrame) -> DataFrame:
         for side in ("a", "b"):
-            own = sets.select(F.col("id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
-            pairs = pairs.join(own, side)
+            pairs = pairs.join(rows.withColumnsRenamed({c: side if c == "id" else f"{c}_{side}" for c in rows.columns}), side)
         return pairs
 
     def plausible(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -209,23 +206,29 @@ def verified(pairs: DataFrame, docs: DataFrame, ids: DataFrame, sifted: bool = F
         return batch.select(["a", "b"]).filter(pa.array(7 * differ <= total))
 
     def check(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = {}
+        for side in "ab":
+            at = dict(zip(batch.column(side).to_pylist(), range(batch.num_rows)))
+            new = [i for i in at if i not in own]
+            own.update(zip(new, sets_of(batch.column(f"text_{side}").take(pa.array([at[i] for i in new], pa.int64())))))
         keep = []
-        for x, y in zip(batch.column("hashes_a"), batch.column("hashes_b")):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            both = np.concatenate([x, y])
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            both = np.concatenate([own[a], own[b]])
             both.sort()
             shared = int(np.count_nonzero(both[1:] == both[:-1]))
-            keep.append(100 * shared >= 75 * (len(x) + len(y) - shared))
+            keep.append(100 * shared >= 75 * (len(both) - shared))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     near = pairs
     if not sifted:
-        near = brought(pairs, "n", "sketch").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+        known = over_batches(texts_of(pairs), counted, "id long, n long, sketch binary")
+        near = brought(pairs, known).select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
         near = stored(over_batches(near, plausible, "a long, b long"), "plausible")
-    return stored(over_batches(brought(near, "hashes").select("a", "b", "hashes_a", "hashes_b"), check, "a long, b long"), "links")
+    joined = brought(near, texts_of(near)).select("a", "b", "text_a", "text_b")
+    return stored(over_batches(joined, check, "a long, b long"), "links")
 
 
-def smallest_hashes(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def smallest_hashes(docs: DataFrame) -> DataFrame:
     """Rows (id, h, n): the ``MINIMA`` smallest hashes of each set."""
 
     def minima(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -237,11 +240,10 @@ def smallest_hashes(docs: DataFrame, ids: DataFrame) -> DataFrame:
         least = np.concatenate([s[:MINIMA] for s in sets]).view(np.int64)
         sizes = np.array([len(s) for s in sets])[owner]
         return pa.RecordBatch.from_arrays(
-            [batch.column("_k").take(pa.array(owner)), pa.array(least), pa.array(sizes)], ["_k", "h", "n"]
+            [batch.column("id").take(pa.array(owner)), pa.array(least), pa.array(sizes)], ["id", "h", "n"]
         )
 
-    holders = over_batches(docs.select("text", "_k"), minima, "_k long, h long, n long")
-    return stored(holders.join(ids, "_k").select("id", "h", "n"), "minima")
+    return stored(over_batches(docs, minima, "id long, h long, n long"), "minima")
 
 
 def family_pairs(holders: DataFrame, seeds: range) -> DataFrame:
@@ -256,14 +258,14 @@ def family_pairs(holders: DataFrame, seeds: range) -> DataFrame:
     ).distinct()
 
 
-def families_of(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+def families_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Families (id, family) of near copies, and the links (a, b) that make them."""
-    holders = smallest_hashes(docs, ids)
-    links = verified(family_pairs(holders.withColumn("family", F.col("id")), range(1)), docs, ids)
+    holders = smallest_hashes(docs)
+    links = verified(family_pairs(holders.withColumn("family", F.col("id")), range(1)), docs)
     for seeds in FAMILY_ROUNDS:
         found = stored(connected_components(links).select("id", F.col("component").alias("family")), "family")
         known = holders.join(found, "id", "left").withColumn("family", F.coalesce("family", "id"))
-        links = links.unionByName(verified(family_pairs(known, seeds), docs, ids))
+        links = links.unionByName(verified(family_pairs(known, seeds), docs))
     return stored(connected_components(links).select("id", F.col("component").alias("family")), "family"), links
 
 
@@ -277,7 +279,7 @@ def common_shingles(docs: DataFrame) -> np.ndarray:
         sets = sets_of(batch.column("text"))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["h"])
 
-    sample = docs.where(F.pmod(F.xxhash64("_k"), F.lit(COMMON_SAMPLE)) == 0).select("text")
+    sample = docs.where(F.pmod(F.xxhash64("id"), F.lit(COMMON_SAMPLE)) == 0).select("text")
     counts = over_batches(sample, explode, "h long").groupBy("h").count().where(F.col("count") >= COMMON_COUNT)
     rows = counts.orderBy(F.desc("count"), "h").limit(MAX_COMMON).select("h").toArrow()
     return np.sort(rows.column("h").to_numpy().view(np.uint64)) if rows.num_rows else np.zeros(0, np.uint64)
@@ -492,25 +494,21 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("n", "f1", "f2", F.col("first.doc_id").alias("id"), F.col("first._k").alias("_k")),
         "classes",
     )
-    ids = classes.select("id", "_k", "n")
-    # One row of each class goes on; the others, and empty sets, stay behind.
-    others = stored(rows.select("_k").distinct().join(ids.select("_k"), "_k", "left_anti"), "other-rows")
-    ones = only(docs, others, "_k", "left_anti")
-    by_key = ids.select("id", "_k")
-
-    families, near = families_of(ones, by_key)
-    named = stored(by_key.join(families, "id", "left").withColumn("family", F.coalesce("family", "id")), "families")
+    # One row of each class goes on, under its doc_id; the others, and empty sets, stay behind.
+    others = stored(rows.select("_k").distinct().join(classes.select("_k"), "_k", "left_anti"), "other-rows")
+    ones = only(docs, others, "_k", "left_anti").select(F.col("doc_id").alias("id"), "text")
+    families, near = families_of(ones)
 
     shares = shares_of_bands(rows)
     # Entries of a band: about half of its shingles, more than that from above at most.
-    volume = {r["band"]: r["total"] for r in ids.groupBy(band_column().alias("band")).agg(F.sum("n").alias("total")).collect()}
+    volume = {r["band"]: r["total"] for r in classes.groupBy(band_column().alias("band")).agg(F.sum("n").alias("total")).collect()}
     buckets = {
         b: max(1, -(-(volume.get(b, 0) + volume.get(b + 1, 0) // 4) // (2 * BUCKET_SEGMENTS)))
         for b in {*volume, *(b - 1 for b in volume if b > 0)}
     }
-    labelled = only(ones, named, "_k", "inner")
+    labelled = only(ones, families, "id", "left").withColumn("family", F.coalesce("family", "id"))
     packed = packed_segments(labelled, shares, common_shingles(ones), buckets)
-    far = verified(segment_pairs(packed, sum(buckets.values()) or 1), ones, by_key, sifted=True)
+    far = verified(segment_pairs(packed, sum(buckets.values()) or 1), ones, sifted=True)
     described = rows.join(classes.select("f1", "f2", "n", F.col("id").alias("class")), ["f1", "f2", "n"], "left")
     described = described.select("doc_id", "_k", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("class"))
     return described, near.unionByName(far)
