@@ -178,9 +178,11 @@ class Warehouse:
         self.update_sightings()
         self.build_marts(stops, routes)
 
-    def update_observations(self, landing: DataFrame) -> None:
-        """Add the observations that are new; older than the lookback is too late.
+    def update_observations(self, landing: DataFrame, any_age: bool = False) -> DataFrame | None:
+        """Add the observations that are new; returns those looked at, None after a rebuild.
 
+        Older than the lookback is too late, which spares reading the landing
+        zone again. With ``any_age`` nothing is: for files that are seen once.
         ``landing`` may be the whole landing zone or only its new files. Rows
         already held are told by their key. They stay unless an earlier fetch
         of theirs has turned up, and then only the days concerned are written
@@ -190,15 +192,15 @@ class Warehouse:
         cutoff = self.landing_cutoff()
         if stored is None or cutoff is None:
             self.rebuild_observations(landing)
-            return
-        recent = stage(landed_since(landing, cutoff))
+            return None
+        recent = stage(landing if any_age else landed_since(landing, cutoff))
         fresh = t.write_and_read(
             _dated(t.require_schema(recent, STAGED_SCHEMA, "stg_stop_time_updates")),
             self._path("_work/fresh"),
         )
         span = fresh.agg(F.min("observed_at"), F.min("observed_date"), F.max("observed_date")).first()
         if span[0] is None:
-            return
+            return fresh
         first_day, last_day = span[1], span[2]
         held = stored.where(F.col("observed_date").between(F.lit(first_day), F.lit(last_day)))
         # Keys are unique on either side of this join, so no key is hot.
@@ -215,7 +217,7 @@ class Warehouse:
         replaced = changes.where("replaces")
         if replaced.isEmpty():
             t.append(changes.drop("replaces"), path, "observed_date")
-            return
+            return fresh
         days = replaced.select("observed_date").distinct()
         rewritten = upsert(
             held.join(days, "observed_date", "left_semi").select(*STORED_STAGED.fieldNames()),
@@ -226,10 +228,15 @@ class Warehouse:
         # Appended first: rows added twice by a rerun are told by their key.
         t.append(added, path, "observed_date")
         t.replace_partitions(rewritten, path, "observed_date")
+        return fresh
 
-    def update_sightings(self) -> None:
+    def update_sightings(self, fresh: DataFrame | None = None) -> None:
         """Recompute the pairs whose answer may have changed, from their whole history.
 
+        ``fresh`` are observations of any age that have just come in; their
+        pairs count as touched. They are all a batch had, new or not, so a batch
+        that is repeated after a failure touches the same pairs.
+
         Touched are the pairs seen since the previous progress of their feed,
         less the lookback: those with new observations, and those that were in
         the newest snapshot and had therefore not vanished. All others were
@@ -249,28 +256,29 @@ class Warehouse:
             self.rebuild_sightings()
             return
         recent = staged.where(F.col("observed_date") >= F.lit(since))
-        touched = t.write_and_read(
+        seen = (
             self._with_progress(recent, previous)
             .where(sighting_ops.touched_since(self.params.incremental_lookback_hours))
-            .select(*PAIR).distinct(),
-            self._path("_work/touched"),
+            .select(*PAIR)
         )
+        begin = since
+        if fresh is not None:
+            seen = seen.unionByName(fresh.where(sighting_ops.can_arrive()).select(*PAIR))
+            begin = min(since, fresh.agg(F.min("observed_date")).first()[0] or since)
+        touched = t.write_and_read(seen.distinct(), self._path("_work/touched"))
+        same_pair = F.expr(" and ".join(f"held.{k} <=> touched.{k}" for k in PAIR))
         earliest = _of_service_dates(held, touched).alias("held").join(
-            touched.alias("touched"),
-            F.expr(" and ".join(f"held.{k} <=> touched.{k}" for k in PAIR)),
-            "left_semi",
+            touched.alias("touched"), same_pair, "left_semi",
         ).agg(F.to_date(F.min("first_seen_at"))).first()[0]
-        begin = since if earliest is None else min(since, earliest)
+        begin = begin if earliest is None else min(begin, earliest)
 
-        history = self._with_progress(
-            staged.where(F.col("observed_date") >= F.lit(begin)), previous
+        # Only touched pairs are folded, not all of those days.
+        history = staged.where(F.col("observed_date") >= F.lit(begin)).alias("held").join(
+            touched.alias("touched"), same_pair, "left_semi"
         )
-        mark = sighting_ops.touched_since(self.params.incremental_lookback_hours)
-        latest = sighting_ops.latest_by_pair(history, mark).where("touched")
+        watermark = sighting_ops.feed_watermark(recent if fresh is None else staged)
         recomputed = t.write_and_read(
-            sighting_ops.describe(
-                latest, sighting_ops.feed_watermark(recent), keep=("first_seen_at",)
-            ),
+            sighting_ops.describe(sighting_ops.latest_by_pair(history), watermark, keep=("first_seen_at",)),
             self._path("_work/recomputed"),
         )
         if recomputed.isEmpty():

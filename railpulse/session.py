@@ -46,8 +46,12 @@ def _machine_folder() -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables, below ``spark.checkpoint.dir``.
 
-    The cluster names a folder every executor can reach. Only a session without
-    one (tests on a single machine) falls back to a temporary directory.
+    The cluster names a folder every executor can reach. Without one, only a
+    session whose executors share this machine may use a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _machine_folder()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        root = _machine_folder()
     return f"{root.rstrip('/')}/railpulse/{name}-{uuid.uuid4().hex}"

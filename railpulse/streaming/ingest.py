@@ -33,13 +33,14 @@ def follow_landing(
     """Keep a warehouse up to date with files as they land.
 
     With ``every`` (say "30 seconds") it runs on; without, it takes what is
-    there in batches of ``max_files`` and stops.
+    there in batches of ``max_files`` and stops. Neither the size of the batches
+    nor the order of the files changes what the warehouse holds in the end.
     """
 
     def absorb(batch: DataFrame, _batch_id: int) -> None:
         warehouse = Warehouse(batch.sparkSession, warehouse_root, params)
-        warehouse.update_observations(batch)
-        warehouse.update_sightings()
+        # Each file is seen once, so no row of it may count as too late.
+        warehouse.update_sightings(warehouse.update_observations(batch, any_age=True))
         if marts:
             warehouse.build_marts()
 

@@ -21,47 +21,47 @@ def built(spark, tmp_path_factory):
     write_landing(frame(spark, watched_platform()), str(folder / "landing"))
     warehouse = Warehouse(spark, str(folder / "warehouse"))
     stops = spark.createDataFrame([
-        ("T04", "Fourth", "40.75", "-73.98", "1", ""), ("T04N", "Fourth", "40.75", "-73.98", "", "T04"),
-        ("T04S", "Fourth", "40.75", "-73.98", "", "T04"), ("T09", "Ninth", "bad", "", "1", ""),
+        ("R30", "Thirtieth", "40.75", "-73.98", "1", ""), ("R30N", "Thirtieth", "40.75", "-73.98", "", "R30"),
+        ("R30S", "Thirtieth", "40.75", "-73.98", "", "R30"), ("R99", "Ninety-ninth", "bad", "", "1", ""),
     ], STOPS)
     routes = spark.createDataFrame([
-        ("A", "A", "Eighth", "", "0062CF", ""), ("Z", "Z", "Never seen", "", None, "FFFFFF"),
+        ("Q", "Q", "Broadway", "", "FCCC0A", ""), ("Z", "Z", "Never seen", "", None, "FFFFFF"),
     ], ROUTES)
     warehouse.rebuild(read_landing(spark, str(folder / "landing")), stops, routes)
     return warehouse
 
 
 def test_a_train_that_arrives_is_an_arrival(built):
-    found = built.fact("fct_arrivals").where("stop_id = 'T01N'").collect()
-    assert [r.trip_id for r in found] == ["arrives"]
-    assert found[0].lead_seconds == 0 and found[0].observations_of_pair == 4
+    found = built.fact("fct_arrivals").where("stop_id = 'R14S'").collect()
+    assert [r.trip_id for r in found] == ["early"]
+    assert found[0].lead_seconds == 10 and found[0].observations_of_pair == 11
 
 
 def test_the_arrival_is_the_last_prediction(built):
-    found = built.fact("fct_arrivals").where("trip_id = 'arrives'").selectExpr(
+    found = built.fact("fct_arrivals").where("trip_id = 'early'").selectExpr(
         "unix_seconds(inferred_arrival) as at", "unix_seconds(last_seen_at) as seen",
         "cast(arrival_local as string) as local", "hour_of_day", "day_of_week").first()
-    assert (found.at, found.seen) == (BASE + 90, BASE + 90)
-    assert (found.local, found.hour_of_day, found.day_of_week) == ("2026-03-10 10:01:30", 10, 2)
+    assert (found.at, found.seen) == (BASE + 210, BASE + 200)
+    assert (found.local, found.hour_of_day, found.day_of_week) == ("2026-06-17 05:03:30", 5, 3)
 
 
-@pytest.mark.parametrize("trip", ["cancelled", "enroute"])
+@pytest.mark.parametrize("trip", ["taken-off", "far-out"])
 def test_pulled_and_pending_trains_are_not_arrivals(built, trip):
     assert built.fact("fct_arrivals").where(f"trip_id = '{trip}'").isEmpty()
 
 
 def test_headways_are_gaps_between_consecutive_trains(built):
-    gaps = built.fact("fct_headways").where("stop_id = 'T04N'").orderBy("inferred_arrival")
-    assert [r.headway_minutes for r in gaps.collect()] == [2.0, 18.0, 2.0, 18.0, 2.0]
+    gaps = built.fact("fct_headways").where("stop_id = 'R30S'").orderBy("inferred_arrival")
+    assert [r.headway_minutes for r in gaps.collect()] == [5.0, 7.0, 11.0, 5.0]
 
 
 def test_excess_wait_is_the_hand_worked_figure(built):
-    wait = built.fact("fct_excess_wait").where("stop_id = 'T04N'").first()
-    assert wait.headways == 5
-    assert wait.mean_headway_minutes == pytest.approx(8.4)
-    assert wait.rider_wait_minutes == pytest.approx(7.857142857)
-    assert wait.even_wait_minutes == pytest.approx(4.2)
-    assert wait.excess_wait_minutes == pytest.approx(3.657142857)
+    wait = built.fact("fct_excess_wait").where("stop_id = 'R30S'").first()
+    assert wait.headways == 4
+    assert wait.mean_headway_minutes == pytest.approx(7)
+    assert wait.rider_wait_minutes == pytest.approx(220 / 56)
+    assert wait.even_wait_minutes == pytest.approx(3.5)
+    assert wait.excess_wait_minutes == pytest.approx(3 / 7)
 
 
 def test_even_service_has_no_excess_wait(spark):
@@ -74,9 +74,9 @@ def test_even_service_has_no_excess_wait(spark):
 
 def test_unpublished_stations_are_kept_and_flagged(built):
     stations = {r.station_id: r for r in built.dimension("dim_stations").collect()}
-    assert not stations["T01"].is_published and stations["T01"].station_name is None
-    assert stations["T04"].is_published and stations["T04"].platform_count == 2
-    assert stations["T09"].latitude is None and stations["T09"].observations == 0
+    assert not stations["R14"].is_published and stations["R14"].station_name is None
+    assert stations["R30"].is_published and stations["R30"].platform_count == 2
+    assert stations["R99"].latitude is None and stations["R99"].observations == 0
     assert quality.orphans(
         built.fact("fct_arrivals"), "station_id", built.dimension("dim_stations"), "station_id"
     ).isEmpty()
@@ -84,13 +84,13 @@ def test_unpublished_stations_are_kept_and_flagged(built):
 
 def test_routes_keep_the_published_ones(built):
     routes = {r.route_id: r for r in built.dimension("dim_routes").collect()}
-    assert routes["A"].route_color == "#0062CF" and routes["A"].route_text_color is None
-    assert routes["A"].trips_observed == 9 and routes["A"].feed_id == "ace"
+    assert routes["Q"].route_color == "#FCCC0A" and routes["Q"].route_text_color is None
+    assert routes["Q"].trips_observed == 8 and routes["Q"].feed_id == "nqrw"
     assert routes["Z"].trips_observed == 0 and routes["Z"].first_observed_at is None
 
 
 def test_every_assertion_holds_but_for_the_unreadable_position(built):
-    """The stop list publishes T09 with a position that is no number."""
+    """The stop list publishes R99 with a position that is no number."""
     report = quality.quality_report(built.tables())
     assert report.count() == 59
     found = {(r.table_name, r.column_name): r.violations for r in report.where("violations > 0").collect()}

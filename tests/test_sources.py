@@ -16,7 +16,7 @@ DAY = 86_400
 def zone(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("landing"))
     rows = [row("t", "1N", BASE + 60, BASE), row("u", "2N", None, BASE + DAY, start_date=None),
-            row("v", "3N", BASE + 60, BASE - 11 * 3600)]  # 03:00Z is still the day before in New York
+            row("v", "3N", BASE + 60, BASE - 6 * 3600)]  # 03:00Z is still the day before in New York
     landing.write_landing(frame(spark, rows), root)
     return root, rows
 
@@ -26,7 +26,7 @@ def test_landing_comes_back_as_written(spark, zone):
     found = landing.read_landing(spark, root)
     assert sorted(found.select(*LANDING_COLUMNS).collect(), key=str) == sorted(frame(spark, rows).collect(), key=str)
     assert sorted((str(r.dt), r.hour) for r in found.collect()) == [
-        ("2026-03-09", 23), ("2026-03-10", 10), ("2026-03-11", 10)]
+        ("2026-06-16", 23), ("2026-06-17", 5), ("2026-06-18", 5)]
 
 
 def test_a_cutoff_skips_directories(spark, zone):
@@ -38,7 +38,7 @@ def test_a_cutoff_skips_directories(spark, zone):
 
 
 def test_a_malformed_row_fails_the_read(spark, tmp_path):
-    folder = tmp_path / "dt=2026-03-10" / "hour=10"
+    folder = tmp_path / "dt=2026-06-17" / "hour=10"
     folder.mkdir(parents=True)
     import gzip
     with gzip.open(folder / "ace-1.ndjson.gz", "wt") as file:
@@ -50,9 +50,9 @@ def test_a_malformed_row_fails_the_read(spark, tmp_path):
 
 def test_the_plan_lists_files_and_bytes(spark, zone):
     plan = {r.day: r for r in history.load_plan(spark, zone[0]).collect()}
-    assert sorted(plan) == ["2026-03-09", "2026-03-10", "2026-03-11"]
+    assert sorted(plan) == ["2026-06-16", "2026-06-17", "2026-06-18"]
     assert all(r.files == 1 and r.bytes > 0 for r in plan.values())
-    assert [r.day for r in history.load_plan(spark, zone[0], "2026-03-10").collect()] == ["2026-03-10"]
+    assert [r.day for r in history.load_plan(spark, zone[0], "2026-06-17").collect()] == ["2026-06-17"]
     with pytest.raises(ValueError):
         history.load_plan(spark, zone[0], "10 March")
 
@@ -61,10 +61,10 @@ def test_days_are_replaced_one_by_one(spark, zone, tmp_path):
     path, rows = str(tmp_path / "history"), frame(spark, zone[1])
     history.replace_days(rows, path)
     history.replace_days(rows, path)
-    assert history.read_history(spark, path, date(2026, 3, 1)).count() == 3
+    assert history.read_history(spark, path, date(2026, 6, 1)).count() == 3
     # Both rows of 10 March by UTC become one, 11 March stays.
-    history.replace_days(rows.where("trip_id <> 'v'"), path, date(2026, 3, 10))
-    left = history.read_history(spark, path, last=date(2026, 3, 31))
+    history.replace_days(rows.where("trip_id <> 'v'"), path, date(2026, 6, 17))
+    left = history.read_history(spark, path, last=date(2026, 6, 30))
     assert sorted(r.trip_id for r in left.collect()) == ["t", "u"]
     with pytest.raises(ValueError, match="first or a last day"):
         history.read_history(spark, path)
