@@ -58,7 +58,7 @@ def test_profile_shows_the_first_of_the_longest_trips(spark):
     busy, empty = found[5], found[0]
     assert (busy.age_seconds, busy.trip_updates, busy.vehicles, busy.alerts) == (4, 3, 1, 1)
     assert (busy.trip_id, busy.origin, busy.stops_remaining, busy.direction) == ("064750_A", "10:47", 7, "NORTH")
-    assert busy.next_stops.split("; ")[0] == "0N 10:00:00 (none) 3" and busy.next_stops.count(";") == 4
+    assert busy.next_stops.split("; ")[0] == "0N 05:00:00 (none) 3" and busy.next_stops.count(";") == 4
     assert (empty.trip_id, empty.direction, empty.stops_remaining) == (None, None, None)
 
 
@@ -69,8 +69,8 @@ def test_a_prediction_converges_and_vanishes(spark):
         row("t", "3N", None, BASE + 60),
     ])
     states = {(r.trip_id, r.stop_id): (r.state, r.arrival_clock, r.polls) for r in trace.prediction_trace(rows).collect()}
-    assert states == {("t", "1N"): ("passed", "10:00:50", 1), ("t", "2N"): ("still ahead", "10:02:20", 2),
-                      ("u", "1N"): ("passed", "10:01:30", 1)}
+    assert states == {("t", "1N"): ("passed", "05:00:50", 1), ("t", "2N"): ("still ahead", "10:02:20", 2),
+                      ("u", "1N"): ("passed", "05:01:30", 1)}
     matrix = trace.trace_matrix(rows, trace.busiest_trips(rows), 2).orderBy("observed_at").collect()
     assert [(r.trip_id, r.feed_time, r.stop_1, r.stop_2) for r in matrix] == [
         ("t", "00:00", "00:50", "02:30"), ("t", "01:00", None, "02:20")]
