@@ -19,6 +19,7 @@ is an error, as no sequence could hold it; an empty table gives no rows.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -32,42 +33,75 @@ SEQUENCE_TOKENS = 4096
 MAX_SEGMENTS = 128
 END_ID = 2
 BUCKET_PIECES = 8192
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_200_000
 TOKENIZER = "word_bpe_49k.json"
+JOINED_WORDS = 500
 # Some characters split words here and not in the tokenizer, so such texts go to it whole.
 _UNLIKE = ("\x1c", "\x1d", "\x1e", "\x1f")
+_TRAILING = ".,;:!?"
 
 
 class WordEncoder:
-    """Token ids of texts, for a tokenizer that drops white space and merges within words only.
+    """Token ids of texts, for a tokenizer that drops white space and case and merges within runs of letters only.
 
-    Words are encoded once and remembered, which gives the ids of the whole text.
+    Words are encoded once and remembered, which gives the ids of the whole text. Words of letters alone are encoded
+    many at a time: each ends with the one token of it that carries the mark of a word's end.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}  # ids as little-endian 32-bit numbers
+
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _letters(self, words: list[str]) -> None:
+        for at in range(0, len(words), JOINED_WORDS):
+            part = words[at:at + JOINED_WORDS]
+            ids = self._whole(" ".join(part))
+            cuts = (4 * np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 4).tolist()
+            if len(cuts) == len(part):
+                self.known.update(zip(part, (ids[a:b] for a, b in zip([0, *cuts], cuts))))
+            else:
+                self.known.update((w, self._whole(w)) for w in part)
+
+    def learn(self, words: set[str]) -> None:
+        """Remember words; a word of letters with marks after it is the two of them in a row."""
+        cores, marked = set(), []
+        for word in words:
+            core = word.rstrip(_TRAILING)
+            if core.isalpha():
+                if core not in self.known:
+                    cores.add(core)
+                if core != word:
+                    marked.append((word, core, word[len(core):]))
+            else:
+                self.known[word] = self._whole(word)
+        self._letters(sorted(cores))
+        for word, core, mark in marked:
+            if mark not in self.known:
+                self.known[mark] = self._whole(mark)
+            self.known[word] = self.known[core] + self.known[mark]
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = [t.split() for t in texts]
-        new = list(set().union(*split) - self.known.keys())
+        # Lower case merges words; only where it is sure to be what the tokenizer makes of the text.
+        plain = [t.lower() if "\u03a3" not in t and unicodedata.is_normalized("NFC", t) else t for t in texts]
+        split = [t.split() for t in plain]
+        new = set().union(*split) - self.known.keys()
         if len(self.known) + len(new) > CACHED_WORDS:
-            self.known, new = {}, list(set().union(*split))
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[word] = found.ids
-        known = self.known
+            self.known, new = {}, set().union(*split)
+        self.learn(new)
+        find = self.known.__getitem__
         for text, words in zip(texts, split):
-            if any(c in text for c in _UNLIKE):
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-                continue
-            ids: list[int] = []
-            for word in words:
-                ids += known[word]
-            yield np.array(ids, np.uint32)
+            if any(c in text for c in _UNLIKE) or "<|" in text:
+                yield np.frombuffer(self._whole(text), "<u4")
+            else:
+                yield np.frombuffer(b"".join(map(find, words)), "<u4")
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
