@@ -422,7 +422,9 @@ def train(pages: list[str | None]) -> Labeller:
 
 
 def fit(pages: DataFrame) -> Labeller:
-    sample = pages.where("html is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(FIT_PAGES).select("html")
+    rows = pages.where("html is not null and page_id is not null").select("page_id", "html")
+    chosen = rows.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(FIT_PAGES)
+    sample = rows.join(F.broadcast(chosen), "page_id").dropDuplicates(["page_id"]).orderBy(F.xxhash64("page_id"), "page_id")
     return train([r["html"] for r in sample.collect()])
 
 

@@ -42,7 +42,7 @@ BUCKETS = 1 << 15
 EPOCHS = 12
 RATE = 0.3
 RIDGE = 1e-4
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 ROWS = 1024
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -204,8 +204,9 @@ def fit(docs: DataFrame) -> Crf | None:
     """The field of the bounded sample; None if nothing is labelled."""
     small_batches(docs.sparkSession, ROWS)
     rows = docs.select("doc_id", "text", "lang").where("doc_id is not null and text is not null and lang is not null")
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
-    sample = stored(rows.where(~held_out()).orderBy(*order).limit(FIT_ROWS), "language-fit")
+    # Numbers are ordered, not texts; at most FIT_ROWS of them are broadcast.
+    chosen = rows.where(~held_out()).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
+    sample = stored(rows.join(F.broadcast(chosen), "doc_id"), "language-fit")
     languages = [
         r["lang"] for r in sample.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     ]

@@ -53,7 +53,7 @@ SHARES = (0.42, 0.5, 0.6, 0.75, 1.0, 1.5, 3.0, 8.0, math.inf)
 MINIMA = 4
 FAMILY_ROUNDS = (range(1, 6),)  # holders drawn per hash in each round after the first
 SKETCH_BITS = 7
-BUCKET_SEGMENTS = 4_000_000
+BUCKET_SEGMENTS = 1_500_000
 COMMON_SAMPLE = 32  # one text in this many
 COMMON_COUNT = 6
 MAX_COMMON = 200_000
