@@ -32,7 +32,7 @@ from railpulse.llm.common import over_batches, small_batches, stored
 SEQUENCE_TOKENS = 4096
 MAX_SEGMENTS = 128
 END_ID = 2
-BUCKET_PIECES = 8192
+BUCKET_PIECES = 3072
 CACHED_WORDS = 1_200_000
 TOKENIZER = "word_bpe_49k.json"
 JOINED_WORDS = 500
