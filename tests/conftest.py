@@ -52,7 +52,7 @@ def row(trip, stop, arrival, observed, feed="nqrw", route="Q", **changes):
     usual = dict.fromkeys(LANDING_SCHEMA.fieldNames()) | {
         "feed_id": feed, "route_id": route, "trip_id": trip, "stop_id": stop, "start_date": "20260617",
         "observed_at": observed, "fetched_at": observed + 8, "predicted_arrival": arrival,
-        "direction": "SOUTH", "train_id": f"0{route} {trip}", "is_assigned": False, "stop_sequence": 4,
+        "direction": "SOUTH", "train_id": f"0{route} {trip}", "is_assigned": False, "stop_sequence": 0,
         "schedule_relationship": "SCHEDULED", "scheduled_track": "2",
     }
     if arrival is not None:
