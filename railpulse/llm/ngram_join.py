@@ -24,8 +24,10 @@ shingle hashes (64 bit).
 Skew. Equal sets are one class from the start. First each set is compared with one
 holder of each of its ``MINIMA`` smallest hashes, then, if not connected by that,
 with a few more: a family of near copies is connected by about one verified link
-per member, and pairs inside it are not listed. Shingles that very many texts share are rarely selected.
-Which shingles count as common comes from a sample and decides cost only.
+per member, and pairs inside it are not listed. Where two families meet in a bucket, the ``NEAREST`` pairs by sketch
+are verified first. Families that had more and are still apart come back, alone, with ``WIDER`` times as many, until
+none has pairs left: every candidate is verified or already connected. Shingles that very many texts share are rarely
+selected. Which shingles count as common comes from a sample and decides cost only.
 
 Segments travel as packed arrays by bucket of about ``BUCKET_SEGMENTS``.
 
@@ -58,6 +60,8 @@ COMMON_SAMPLE = 32  # one text in this many
 COMMON_COUNT = 6
 MAX_COMMON = 200_000
 PAIRWISE = 48  # groups up to this size are paired by array shifts
+NEAREST = 2  # pairs of two families that a bucket gives at first
+WIDER = 16
 
 
 def band_of(size: int) -> int:
@@ -440,9 +444,25 @@ def candidates_of(signature, kind, owner, sets: dict[str, np.ndarray], single: b
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def segment_pairs(packed: DataFrame, buckets: int) -> DataFrame:
-    """Candidate pairs (a, b) of all buckets, distinct."""
-    names = ["a", "b"]
+def nearest_pairs(pairs: np.ndarray, families: np.ndarray, sketches: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``most`` pairs of each two families whose sketches differ least, and whether the two have more."""
+    a, b = pairs >> 32, pairs & 0xFFFFFFFF
+    differ = np.concatenate([
+        np.abs(sketches[a[at:at + (1 << 16)]] - sketches[b[at:at + (1 << 16)]]).sum(axis=1, dtype=np.int64)
+        for at in range(0, len(pairs), 1 << 16)
+    ])
+    key = np.minimum(families[a], families[b]).astype(np.int64) << 32 | np.maximum(families[a], families[b])
+    order = np.lexsort((pairs, differ, key))
+    key = key[order]
+    opens = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    counts = np.diff(np.append(opens, len(key)))
+    keep = np.arange(len(key)) - np.repeat(opens, counts) < most
+    return pairs[order][keep], np.repeat(counts > most, counts)[keep]
+
+
+def segment_pairs(packed: DataFrame, buckets: int, most: int) -> DataFrame:
+    """Distinct candidate pairs (a, b, cut) of all buckets, ``most`` of two families from each; cut if they have more."""
+    names = ["a", "b", "cut"]
 
     def finish(rows: list[dict]) -> pa.RecordBatch | None:
         ids, families = (np.concatenate([np.frombuffer(r[c], np.int64) for r in rows]) for c in ("ids", "families"))
@@ -456,8 +476,9 @@ def segment_pairs(packed: DataFrame, buckets: int) -> DataFrame:
         pairs = candidates_of(signature, kind, owner, sets, bool(rows[0]["single"]))
         if not len(pairs):
             return None
+        pairs, cut = nearest_pairs(pairs, sets["families"], sketches, most)
         a, b = ids[pairs >> 32], ids[pairs & 0xFFFFFFFF]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(cut)], names)
 
     def run(batches):
         held: list[dict] = []
@@ -474,7 +495,8 @@ def segment_pairs(packed: DataFrame, buckets: int) -> DataFrame:
             yield found
 
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "a long, b long").where("a <> b").distinct()
+    found = dealt.mapInArrow(run, "a long, b long, cut boolean").where("a <> b")
+    return found.groupBy("a", "b").agg(F.max("cut").alias("cut"))
 
 
 # -- the join -----------------------------------------------------------------------------
@@ -506,12 +528,37 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         b: max(1, -(-(volume.get(b, 0) + volume.get(b + 1, 0) // 4) // (2 * BUCKET_SEGMENTS)))
         for b in {*volume, *(b - 1 for b in volume if b > 0)}
     }
-    labelled = only(ones, families, "id", "left").withColumn("family", F.coalesce("family", "id"))
-    packed = packed_segments(labelled, shares, common_shingles(ones), buckets)
-    far = verified(segment_pairs(packed, sum(buckets.values()) or 1), ones, sifted=True)
+    links = near.unionByName(far_links(ones, families, near, shares, buckets))
     described = rows.join(classes.select("f1", "f2", "n", F.col("id").alias("class")), ["f1", "f2", "n"], "left")
     described = described.select("doc_id", "_k", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("class"))
-    return described, near.unionByName(far)
+    return described, links
+
+
+def far_links(ones: DataFrame, families: DataFrame, near: DataFrame, shares: dict[int, float], buckets: dict[int, int]) -> DataFrame:
+    """Links (a, b) that join ``families``, themselves made by the links ``near``, as far as they can be joined."""
+    common, total = common_shingles(ones), sum(buckets.values()) or 1
+    labelled, links, found, most = only(ones, families, "id", "left"), near, None, NEAREST
+    while True:
+        packed = packed_segments(labelled.withColumn("family", F.coalesce("family", "id")), shares, common, buckets)
+        pairs = stored(segment_pairs(packed, total, most), "met")
+        new = verified(pairs.select("a", "b"), ones, sifted=True)
+        found = new if found is None else found.unionByName(new)
+        cut = pairs.where("cut").select("a", "b")
+        if cut.isEmpty():
+            return found
+        links = links.unionByName(new)
+        families = stored(connected_components(links).select("id", F.col("component").alias("family")), "family")
+        for side in "ab":
+            cut = cut.join(families.withColumnsRenamed({"id": side, "family": f"of_{side}"}), side, "left")
+            cut = cut.withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
+        apart = cut.where("of_a <> of_b").select(F.explode(F.array("of_a", "of_b")).alias("family")).distinct()
+        apart = stored(apart, "apart")
+        if apart.isEmpty():
+            return found
+        members = families.join(apart, "family", "left_semi").unionByName(
+            apart.select(F.col("family").alias("id"), "family")).distinct()
+        labelled = only(ones, stored(members, "members"), "id", "inner")
+        most *= WIDER
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
