@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from railpulse.llm.common import held_out, over_batches, small_batches, stored
+from railpulse.llm.common import held_out, mixed, over_batches, small_batches, stored
 
 UNKNOWN = "und"
 FIT_ROWS = 4_000
@@ -52,14 +52,40 @@ def lines_of(text: str | None) -> list[list[str]]:
     return [words for words in found if words]
 
 
-def features(word: str, lexicon: frozenset[str] | set[str]) -> list[int]:
-    bordered = f"<{word}>"
-    found = {f"p{word[:n]}" for n in (1, 2, 3)} | {f"s{word[-n:]}" for n in (1, 2, 3)}
-    found |= {f"b{bordered[i:i + 2]}" for i in range(len(bordered) - 1)}
-    found |= {f"t{bordered[i:i + 3]}" for i in range(len(bordered) - 2)}
-    if word in lexicon:
-        found.add(f"w{word}")
-    return [zlib.crc32(f.encode()) % BUCKETS for f in sorted(found)]
+def features(words: list[str], lexicon: frozenset[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of every word's features, word after word, and how many each word has.
+
+    Up to three characters make one number, so all words of a batch are hashed together.
+    """
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    text = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    ends = np.cumsum(lengths + 2)
+    starts = ends - lengths - 2
+    grams = {1: text}
+    for n in (2, 3):
+        grams[n] = grams[n - 1][:-1] * np.uint64(0x110000) + text[n - 1:]
+    every = np.arange(len(words))
+    owners, numbers = [], []
+
+    def add(owner: np.ndarray, kind: int, n: int, at: np.ndarray) -> None:
+        owners.append(owner)
+        numbers.append(grams[n][at] * np.uint64(4) + np.uint64(kind))
+
+    for n in (1, 2, 3):
+        long = lengths >= n
+        add(every[long], 0, n, starts[long] + 1)
+        add(every[long], 1, n, ends[long] - 1 - n)
+    for n in (2, 3):
+        counts = lengths + 3 - n
+        add(np.repeat(every, counts), 2, n, np.arange(counts.sum()) + np.repeat(starts - np.cumsum(counts) + counts, counts))
+    frequent = [i for i, w in enumerate(words) if w in lexicon]
+    owners.append(np.array(frequent, np.int64))
+    numbers.append(np.array([zlib.crc32(words[i].encode()) << 2 | 3 for i in frequent], np.uint64))
+    buckets = (mixed(np.concatenate(numbers)) % np.uint64(BUCKETS)).astype(np.int64)
+    found = np.concatenate(owners) * BUCKETS + buckets
+    found.sort()
+    found = found[np.diff(found, prepend=-1) > 0]
+    return found % BUCKETS, np.bincount(found // BUCKETS, minlength=len(words))
 
 
 def forward_backward(
@@ -112,10 +138,8 @@ class Crf:
         if len(self.known) + len(new) > REMEMBERED:
             self.known, self.table, new = {}, None, list(set(words))
         if new:
-            found = [features(w, self.lexicon) for w in new]
-            sizes = np.array([len(f) for f in found])
-            rows = self.weights[np.fromiter((b for f in found for b in f), np.int64, int(sizes.sum()))]
-            sums = np.add.reduceat(rows, np.cumsum(sizes) - sizes, axis=0)
+            buckets, sizes = features(new, self.lexicon)
+            sums = np.add.reduceat(self.weights[buckets], np.cumsum(sizes) - sizes, axis=0)
             base = len(self.known)
             self.known.update((w, base + i) for i, w in enumerate(new))
             self.table = sums if self.table is None else np.concatenate([self.table, sums])
@@ -164,11 +188,10 @@ def train(labelled: list[tuple[str, str]], languages: list[str]) -> Crf:
             words, tags = words + other, tags + [j] * len(other)
         spliced.append((words, tags))
     vocabulary = {w: i for i, w in enumerate(counts)}
-    found = [features(w, lexicon) for w in vocabulary]
-    width = max(map(len, found), default=0)
-    padded = np.full((len(found), width), BUCKETS)
-    for i, f in enumerate(found):
-        padded[i, :len(f)] = f
+    buckets, sizes = features(list(vocabulary), lexicon)
+    width = int(sizes.max(initial=0))
+    padded = np.full((len(sizes), width), BUCKETS)
+    padded[np.arange(width) < sizes[:, None]] = buckets
     squares = np.full((BUCKETS + 1, len(languages)), 1e-6, np.float32)
     weights = np.zeros((BUCKETS + 1, len(languages)), np.float32)
     transition_squares = np.full_like(crf.transition, 1e-6)
