@@ -97,6 +97,12 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers; for 64-bit numbers sorting is several times as fast as the hashing of ``np.unique``."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
     """``base**i`` and ``base**-i`` modulo 2**64, for i below n."""
     key = str(base)

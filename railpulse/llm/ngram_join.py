@@ -46,7 +46,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from railpulse.llm.common import Words, mixed, only, over_batches, small_batches, stored, utf8
+from railpulse.llm.common import Words, distinct, mixed, only, over_batches, small_batches, stored, utf8
 from railpulse.llm.components import connected_components, with_components
 
 SINGLES = 128
@@ -116,7 +116,7 @@ def rare_of(hashes: np.ndarray, common: np.ndarray) -> np.ndarray:
 def sets_of(texts: pa.Array) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     hashes, first = Words(*utf8(texts)).shingles()
-    return [np.unique(hashes[a:b]) for a, b in zip(first[:-1], first[1:])]
+    return [distinct(hashes[a:b]) for a, b in zip(first[:-1], first[1:])]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -402,7 +402,7 @@ def candidates_of(signature, kind, owner, sets: dict[str, np.ndarray], single: b
         nonlocal found
         found.append(np.minimum(a, b).astype(np.int64) << 32 | np.maximum(a, b))
         if len(found) > 1000:
-            found = [np.unique(np.concatenate(found))]
+            found = [distinct(np.concatenate(found))]
 
     small = ends - opens <= PAIRWISE
     first, last = opens[small], ends[small]
@@ -418,8 +418,8 @@ def candidates_of(signature, kind, owner, sets: dict[str, np.ndarray], single: b
         met = ((one == SELECTED) & (two != BELOW) & (sizes[a] <= sizes[b])) | (
             (two == SELECTED) & (one != BELOW) & (sizes[b] <= sizes[a])) | ((one == BELOW) ^ (two == BELOW))
         x, y = x[met], y[met]
-        pair = np.unique(np.minimum(owner[x], owner[y]).astype(np.int64) << 33
-                         | np.maximum(owner[x], owner[y]).astype(np.int64) << 1 | (kind[x] >= COMMON))
+        pair = distinct(np.minimum(owner[x], owner[y]).astype(np.int64) << 33
+                        | np.maximum(owner[x], owner[y]).astype(np.int64) << 1 | (kind[x] >= COMMON))
         a, b = pair >> 33, (pair >> 1) & 0xFFFFFFFF
         ok = fits(a, b, (pair & 1).astype(bool))
         add(a[ok], b[ok])
@@ -441,7 +441,7 @@ def candidates_of(signature, kind, owner, sets: dict[str, np.ndarray], single: b
             a = np.full(len(partners), x)
             ok = fits(a, partners, np.full(len(partners), bool(common)))
             add(a[ok], partners[ok])
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    return distinct(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
 def nearest_pairs(pairs: np.ndarray, families: np.ndarray, sketches: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
