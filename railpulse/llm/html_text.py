@@ -13,8 +13,14 @@ article by a semantic element label their own blocks. From the texts of these,
 semantic elements, or neither, so that the labeller does not rest on one site's
 markup. If no page marks its article, words are drawn at random instead.
 
+Elements without page text are skipped: script, style, textarea and iframe to their
+end tag or else to the end of the page; svg and template only where an end tag
+belongs to them. Text of math stays in its block; fallback text (object, canvas,
+noscript) makes blocks of its own, and the labeller decides.
+
 Defined cases: a null or empty html, or a page without text, has an empty text;
-unclosed and stray tags are tolerated; repeated pages give equal rows; a null
+unclosed and stray tags are tolerated, and an unclosed or self-closed svg or math
+hides nothing after it; repeated pages give equal rows; a null
 url stays null; an empty table gives no rows.
 """
 
@@ -48,7 +54,10 @@ BLOCK = frozenset(
     "p pre section select summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = ("script", "style", "noscript", "template", "svg", "textarea", "iframe", "object", "canvas", "math")
+RAW = ("script", "style", "textarea", "iframe")  # what they hold is not markup
+SILENT = ("svg", "template")
+FOREIGN = frozenset(("svg", "math"))  # may close themselves, and end where a block begins
+FALLBACK = frozenset(("object", "canvas", "noscript"))
 # Elements that end an open element of the same group when they begin.
 SIBLINGS = {
     "p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -58,11 +67,12 @@ FENCES = frozenset("ul ol dl table article section div main body nav aside heade
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({'|'.join(SILENT)})\b.*?(?:</\1\s*>|\Z)"
+    rf"|<({'|'.join(RAW)})(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
+_SILENT = re.compile(rf"<(/?)({'|'.join(SILENT)})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.I)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
 _WORD = re.compile(r"\w+")
@@ -75,6 +85,20 @@ class Block:
     linked: int = 0  # characters inside links
 
 
+def silent_spans(html: str) -> dict[int, int]:
+    """Where silent elements that have an end tag begin and end; those that close themselves or never end are not among them."""
+    found: dict[int, int] = {}
+    opened: dict[str, list[int]] = {name: [] for name in SILENT}
+    for m in _SILENT.finditer(html):
+        name = m[2].lower()
+        if m[1]:
+            if opened[name]:
+                found[opened[name].pop()] = m.end()
+        elif not (name in FOREIGN and m[3].endswith("/")):
+            opened[name].append(m.start())
+    return found
+
+
 def blocks_of(html: str | None) -> list[Block]:
     """Leaf blocks of a page in order, character references decoded, white space single."""
     found: list[Block] = []
@@ -101,16 +125,19 @@ def blocks_of(html: str | None) -> list[Block]:
         del stack[depth:]
 
     html, at = html or "", 0
-    for m in _TOKEN.finditer(html):
+    silent = silent_spans(html)
+    while m := _TOKEN.search(html, at):
         text(html[at:m.start()])
-        at = m.end()
+        at = silent.get(m.start(), m.end())
+        if at > m.end():
+            continue
         name = (m[3] or "").lower()
         if not name:
             continue
         if name == "br":
             text("\n")
             continue
-        if name in BLOCK:
+        if name in BLOCK or name in FALLBACK:
             flush()
         if m[2]:
             for depth in range(len(stack) - 1, -1, -1):
@@ -120,8 +147,10 @@ def blocks_of(html: str | None) -> list[Block]:
                 if name not in FENCES and stack[depth][0] in FENCES:
                     break  # a stray end inside another container
             continue
-        if name in VOID:
+        if name in VOID or name in FOREIGN and m[4].endswith("/"):
             continue
+        if name in BLOCK:
+            leave(next((depth for depth, e in enumerate(stack) if e[0] in FOREIGN), len(stack)))
         closes = SIBLINGS.get(name, {"p"} if name in BLOCK else set())
         for depth in range(len(stack) - 1, -1, -1):
             if stack[depth][0] in closes:

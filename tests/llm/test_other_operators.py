@@ -63,6 +63,31 @@ def test_blocks_decode_and_join():
     assert html_text.blocks_of(None) == [] and html_text.blocks_of("<p></p>") == []
 
 
+@pytest.mark.parametrize("html, texts", [
+    ("<article><p>one</p><svg/><p>two</p></article>", ["one", "two"]),
+    ("<p>one<math/> more</p><p>two</p>", ["one more", "two"]),
+    ("<p>one</p><svg viewBox='0 0 1 1'><path d='m'><p>two</p>", ["one", "two"]),
+    ("<p>one</p><canvas id=c><p>two</p>", ["one", "two"]),
+    ("<object-view>one</object-view><p>two</p><template-card>three</template-card><script-x>four</script-x>", ["one", "two", "threefour"]),
+    ("<p>one</p><template><p>no</p><p>two</p>", ["one", "no", "two"]),
+    ("<p>let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p>", ["let x=2 be"]),
+    ("<p>a</p><object data=f>b</object><canvas>c</canvas><noscript><p>d</p></noscript><p>e</p>", list("abcde")),
+    ("<p>a<svg><title>no</title><style/><svg></svg>no</svg>b</p><template><p>no</p></template><p>c</p>", ["ab", "c"]),
+    ("<p>a</p><textarea>no</textarea ><iframe>no</iframe><style>no</style x><p>b</p><script>no <p>no</p>", ["a", "b"]),
+])
+def test_elements_hide_no_text_of_the_page(html, texts):
+    assert [b.text for b in html_text.blocks_of(html)] == texts
+
+
+def test_articles_keep_formulas_and_fallbacks(spark):
+    body = ("<p>The quick brown fox and more.</p><object>Words of an object, in place.</object><svg/>"
+            "<noscript><p>Some more words for readers without scripts.</p></noscript><p>The last words of it.</p>")
+    rows = [(i, "u", article(i, "<p>The quick brown fox and more.</p><p>Second paragraph of it.</p>")) for i in range(60)]
+    found = {r.page_id: r.text for r in html_text.extract(pages(spark, [*rows, (60, "u", article(60, body))])).collect()}
+    assert found[60] == ("Head 60 The quick brown fox and more. Words of an object, in place. "
+                         "Some more words for readers without scripts. The last words of it.")
+
+
 def test_articles_are_extracted(spark):
     body = "<p>The quick <i>brown</i> fox &amp; more.</p><p>Second paragraph, with several words in it.</p>"
     rows = [(i, f"u{i}", article(i, body)) for i in range(60)]
