@@ -124,6 +124,53 @@ def test_vectors_equal_brute_force(spark):
     assert embeddings.near_duplicates(table.limit(0)).collect() == []
 
 
+class Scanner:
+    """Stands for a graph: beams below ``sees`` meet no node of the ``hidden`` queries' groups."""
+
+    def __init__(self, vectors, hidden=None, sees=0):
+        self.vectors, self.hidden, self.sees = vectors, hidden, sees
+
+    def search(self, queries, width):
+        sims = queries @ self.vectors.T
+        if width < self.sees:
+            sims[:, self.hidden] = -1
+        ids = np.argsort(-sims, axis=1)[:, :width]
+        return ids, np.take_along_axis(sims, ids, axis=1)
+
+
+def spread(rng, count, size=32):
+    found = rng.normal(size=(count, size))
+    return found / np.linalg.norm(found, axis=1, keepdims=True)
+
+
+def test_audit_sees_links_of_small_groups_beside_a_large_one():
+    rng = np.random.default_rng(2)
+    exact = spread(rng, 2000)
+    exact[:700] = exact[0] + rng.normal(scale=0.02, size=(700, 32))
+    exact /= np.linalg.norm(exact, axis=1, keepdims=True)
+    queries = exact + rng.normal(scale=0.01, size=exact.shape)
+    queries /= np.linalg.norm(queries, axis=1, keepdims=True)
+    hidden = np.arange(700, 2000)
+    assert embeddings.audited_width(Scanner(exact, hidden, 128), exact, queries, 0.9) == (128, 1.0)
+    assert embeddings.audited_width(Scanner(exact), exact, queries, 0.9) == (32, 1.0)
+
+
+def test_audit_does_not_count_a_node_as_its_own_link():
+    rng = np.random.default_rng(3)
+    exact = np.repeat(spread(rng, 500), 2, axis=0) + rng.normal(scale=0.01, size=(1000, 32))
+    exact /= np.linalg.norm(exact, axis=1, keepdims=True)
+
+    class Own(Scanner):
+        def search(self, queries, width):
+            ids, sims = super().search(queries, width)
+            if width < 128:
+                sims[:, 1:] = -1  # finds the query itself alone
+                ids[:, 1:] = -1
+            return ids, sims
+
+    assert embeddings.audited_width(Own(exact), exact, exact, 0.9, np.arange(1000))[0] == 128
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(200, 260)] + [(5, 5), (None, 3), (9, 7)]
     found = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
