@@ -15,6 +15,9 @@ documents.
 Defined cases: an item with one to four words is contained where its words stand
 in a row; an item without words (or null) is contained nowhere; repeated items
 and repeated documents each give their own rows; empty tables give no rows.
+When documents are dropped, rows that share a doc_id are one document with several
+texts and go together; a row with null doc_id is a document of its own, decided by
+its text.
 """
 
 from __future__ import annotations
@@ -104,8 +107,11 @@ def _batch_grams(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return mixed(parts), np.searchsorted(at, words.first)
 
 
-def find_contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows (doc_id, item_id, n_found, n_shingles, containment) of items inside documents."""
+def find_contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, key: str = "doc_id") -> DataFrame:
+    """Rows (doc_id, item_id, n_found, n_shingles, containment) of items inside documents.
+
+    ``key`` names the column that stands in the place of doc_id.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     items = items.select("item_id", "text")
@@ -113,15 +119,15 @@ def find_contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHO
     blocks = max(1, math.ceil(total / BLOCK_WORDS))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     found = [
-        _search(docs, Index([tuple(r) for r in items.where(block == b).collect()], threshold))
+        _search(docs, Index([tuple(r) for r in items.where(block == b).collect()], threshold), key)
         for b in range(blocks)
     ]
     return functools.reduce(DataFrame.unionByName, found)
 
 
-def _search(docs: DataFrame, index: Index) -> DataFrame:
+def _search(docs: DataFrame, index: Index, key: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(index)
-    names = ["doc_id", "item_id", "n_found", "n_shingles", "containment"]
+    names = [key, "item_id", "n_found", "n_shingles", "containment"]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         index = shared.value
@@ -147,17 +153,19 @@ def _search(docs: DataFrame, index: Index) -> DataFrame:
         doc, *rest = zip(*rows)
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(pa.array(doc, pa.int64())), *(pa.array(c, k) for c, k in zip(rest, kinds))],
+            [batch.column(key).take(pa.array(doc, pa.int64())), *(pa.array(c, k) for c, k in zip(rest, kinds))],
             names,
         )
 
     return over_batches(
-        docs.select("doc_id", "text"), work,
-        "doc_id long, item_id long, n_found long, n_shingles long, containment double",
+        docs.select(key, "text"), work,
+        f"{key} {docs.schema[key].dataType.simpleString()}, item_id long, n_found long, n_shingles long, containment double",
     )
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents without those that contain an item."""
-    found = stored(find_contained(docs, items, threshold).select("doc_id").distinct(), "contaminated")
-    return only(docs, found, "doc_id", "left_anti").select(*docs.columns)
+    # Null never equals null, so a row without doc_id goes by the digest of its text, which is no number.
+    docs = docs.withColumn("_document", F.coalesce(F.col("doc_id").cast("string"), F.sha2("text", 256)))
+    found = stored(find_contained(docs, items, threshold, "_document").select("_document").distinct(), "contaminated")
+    return only(docs, found, "_document", "left_anti").drop("_document")

@@ -572,11 +572,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def once(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each doc_id and text, null equal to null: the first by the other columns."""
+    rows = docs.withColumn("_k", F.xxhash64("doc_id", "text"))
+    repeated = stored(rows.groupBy("_k").count().where("count > 1").select("_k"), "repeated-rows")
+    if repeated.isEmpty():
+        return docs
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # Only repeated rows are grouped, and copies are cut to one per input partition before the shuffle.
+    many = only(rows, repeated, "_k", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0), *others)).alias("first"))
+    many = many.select(*(c if c in ("doc_id", "text") else F.col("first")[c].alias(c) for c in docs.columns))
+    return only(rows, repeated, "_k", "left_anti").select(*docs.columns).unionByName(many)
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component: that with its smallest doc_id.
 
-    Documents without words, and rows with null doc_id, are all kept.
+    Of rows that repeat both doc_id and text one stays, also where these are null. Otherwise documents without words,
+    and rows with null doc_id, are all kept, and so are different texts of a doc_id.
     """
+    docs = once(docs)
     found = near_duplicates(docs.select("doc_id", "text"))
     away = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
     return only(docs, away, "doc_id", "left_anti").select(*docs.columns)

@@ -1,6 +1,7 @@
 """The corpus pipeline, stage by stage, against what each should keep."""
 
 import corpus_pipeline
+from railpulse.llm import decontaminate, ngram_join
 from llm.conftest import prose
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -28,3 +29,27 @@ def test_stages_keep_and_drop_what_they_should(spark, tmp_path):
     assert next(r.text for r in seen["pii"] if r.doc_id == 103).endswith(" [email]")
     whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(map(str, whole)) == sorted(map(str, seen["packing"]))
+
+
+def test_items_are_found_under_null_and_repeated_ids(spark, documents):
+    item = prose(77, 30)
+    dirty, clean = f"{prose(500, 80)} {item}", prose(3, 90)
+    rows = [(None, dirty), (None, clean), (None, None), (1, dirty), (1, clean), (2, dirty), (2, dirty), (3, clean), (3, clean)]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = documents(rows)
+    kept = decontaminate.decontaminated(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(None, clean), (None, None), (3, clean), (3, clean)], key=str)
+
+
+def test_repeated_rows_stay_once(documents):
+    one, two, three = prose(1, 90), prose(2, 90), prose(4, 90)
+    rows = [(1, one, "b"), (1, one, "a"), (1, one, "a"), (1, two), (2, one), (3, None), (3, None), (4, None), (None, three),
+            (None, three), (None, one), (5, two + " x"), (6, prose(5, 90))]
+    docs = documents(rows)
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text, r.lang) for r in kept.collect()), key=str) == sorted(
+        [(1, one, "a"), (1, two, None), (3, None, None), (4, None, None), (None, three, None), (None, one, None),
+         (6, prose(5, 90), None)], key=str)
