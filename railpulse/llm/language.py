@@ -10,9 +10,11 @@ and its score is that share.
 
 Weights maximise the likelihood of labelled chains. Half of these are spliced
 from two documents of different languages, so that the transitions learn how
-text switches. The sample is at most ``FIT_ROWS`` documents (smallest hash of
-doc_id outside the held-out fold) and ``FIT_CHAINS`` chains of them, picked by
-hash over the whole texts. Prediction reads every word of every text.
+text switches. Every language that has a labelled text with a doc_id outside the
+held-out fold is learned, however rare. The sample is at most ``FIT_ROWS`` documents
+of each (smallest hash of doc_id) and ``FIT_CHAINS`` chains of them, picked in turns
+by hash over the whole texts; if that is less than ``LEAST_CHAINS`` a language, it is
+that many. Prediction reads every word of every text.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 without any labelled text every document is; ties between languages go to the
@@ -33,16 +35,17 @@ from pyspark.sql import DataFrame, Window, functions as F
 from railpulse.llm.common import held_out, mixed, over_batches, small_batches, stored
 
 UNKNOWN = "und"
-FIT_ROWS = 4_000
+FIT_ROWS = 1_000  # of each language
 FIT_CHAINS = 3_000
+LEAST_CHAINS = 100  # of each language that has as many
 CHAIN_WORDS = 40  # longer lines enter the sample as several chains
 LEXICON_WORDS = 2_000
-MAX_LANGUAGES = 64
 BUCKETS = 1 << 15
 EPOCHS = 12
 RATE = 0.3
 RIDGE = 1e-4
 REMEMBERED = 150_000
+CELLS = 8_000_000  # words times languages of the lines handled together
 ROWS = 1024
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -135,7 +138,7 @@ class Crf:
     def emissions(self, words: list[str]) -> np.ndarray:
         """Log weights of each word for each language; words met before are remembered."""
         new = list(set(words) - self.known.keys())
-        if len(self.known) + len(new) > REMEMBERED:
+        if len(self.known) + len(new) > min(REMEMBERED, 16 * CELLS // len(self.languages)):
             self.known, self.table, new = {}, None, list(set(words))
         if new:
             buckets, sizes = features(new, self.lexicon)
@@ -148,20 +151,25 @@ class Crf:
 
     def document_shares(self, texts: list[str | None]) -> np.ndarray:
         """Share of each language in each text; zeros where a text has no letter."""
+        shares = np.zeros((len(texts), len(self.languages)))
         words: list[str] = []
         first, owner = [0], []
+
+        def add() -> None:
+            posterior, _ = forward_backward(self.emissions(words), self.transition, np.array(first))
+            of_line = np.add.reduceat(posterior, first[:-1], axis=0, dtype=np.float64)
+            np.add.at(shares, owner, of_line)
+
         for row, text in enumerate(texts):
             for line in lines_of(text):
                 words += line
                 first.append(len(words))
                 owner.append(row)
-        shares = np.zeros((len(texts), len(self.languages)))
-        if not words:
-            return shares
-        first = np.array(first)
-        posterior, _ = forward_backward(self.emissions(words), self.transition, first)
-        of_line = np.add.reduceat(posterior, first[:-1], axis=0, dtype=np.float64)
-        np.add.at(shares, owner, of_line)
+                if len(words) * len(self.languages) >= CELLS:
+                    add()
+                    words, first, owner = [], [0], []
+        if words:
+            add()
         total = shares.sum(axis=1, keepdims=True)
         return np.divide(shares, total, out=shares, where=total > 0)
 
@@ -202,7 +210,10 @@ def train(labelled: list[tuple[str, str]], languages: list[str]) -> Crf:
             tags = np.array([t for _, ts in part for t in ts])
             first = np.concatenate([[0], np.cumsum([len(ts) for _, ts in part])])
             rows = padded[ids]
-            posterior, expected = forward_backward(weights[rows].sum(axis=1), crf.transition, first)
+            emission = weights[rows[:, 0]]
+            for column in rows.T[1:]:
+                emission += weights[column]
+            posterior, expected = forward_backward(emission, crf.transition, first)
             error = -posterior
             error[np.arange(len(tags)), tags] += 1
             inside = np.ones(len(tags), bool)
@@ -227,21 +238,23 @@ def fit(docs: DataFrame) -> Crf | None:
     """The field of the bounded sample; None if nothing is labelled."""
     small_batches(docs.sparkSession, ROWS)
     rows = docs.select("doc_id", "text", "lang").where("doc_id is not null and text is not null and lang is not null")
-    # Numbers are ordered, not texts; at most FIT_ROWS of them are broadcast.
-    chosen = rows.where(~held_out()).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
-    sample = stored(rows.join(F.broadcast(chosen), "doc_id"), "language-fit")
-    languages = [
-        r["lang"] for r in sample.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    ]
+    # Numbers are ordered, not texts, and of a language only those below a hash that twice as many as wanted should meet.
+    ids = stored(rows.where(~held_out()).select("lang", "doc_id").distinct(), "language-ids")
+    counts = ids.groupBy("lang").count()
+    wanted = ids.join(F.broadcast(counts), "lang").withColumn("hash", F.xxhash64("doc_id"))
+    wanted = wanted.where(F.col("hash") / 2.0 ** 64 + 0.5 <= 2.0 * FIT_ROWS / F.col("count"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "doc_id"))
+    chosen = wanted.withColumn("rank", rank).where(F.col("rank") <= FIT_ROWS).select("lang", "doc_id")
+    sample = stored(rows.join(F.broadcast(stored(chosen, "language-chosen")), ["lang", "doc_id"]), "language-fit")
+    languages = [r["lang"] for r in counts.collect()]
     pieces = (
-        sample.where(F.col("lang").isin(languages))
-        .select("doc_id", "lang", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+        sample.select("doc_id", "lang", F.posexplode(F.split("text", "\n")).alias("at", "line"))
         .select("doc_id", "lang", "at", F.posexplode(F.expr(
             rf"regexp_extract_all(line, '(\\S+\\s*){{1,{CHAIN_WORDS}}}', 0)")).alias("part", "line"))
     )
-    # Rarer languages come first, in turns, so that none is left out of the sample.
+    # Rarer languages come first, in turns, so that each has ``LEAST_CHAINS`` if there are so many.
     turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "at", "part"), "line"))
-    chosen = pieces.withColumn("turn", turn).orderBy("turn", "lang").limit(FIT_CHAINS)
+    chosen = pieces.withColumn("turn", turn).orderBy("turn", "lang").limit(max(FIT_CHAINS, LEAST_CHAINS * len(languages)))
     labelled = [(r["line"], r["lang"]) for r in chosen.select("line", "lang").collect()]
     return train(labelled, sorted(languages)) if labelled else None
 

@@ -277,3 +277,21 @@ def test_language_on_switching_text(documents):
     assert len(language.with_language(documents(rows)).collect()) == 200
     assert language.language_id(documents([])).collect() == []
     assert {r.lang_pred for r in language.language_id(documents(AWKWARD)).collect()} == {"und"}
+
+
+def test_every_labelled_language_is_learned(documents, monkeypatch):
+    common = str.maketrans("abcdefghij", "klmnopqrst")
+    rare = {f"l{k:02}": chr(0x4E00 + 20 * k) for k in range(70)}
+    rows = [(i, prose(i, 6).translate(common), "common") for i in range(300)]
+    for k, (lang, letter) in enumerate(rare.items()):
+        letters = str.maketrans("abcdefghij", "".join(chr(ord(letter) + j) for j in range(10)))
+        rows += [(1000 + 10 * k + j, prose(1000 + 10 * k + j, 6).translate(letters), lang) for j in range(6)]
+    monkeypatch.setattr(language, "FIT_ROWS", 40)
+    monkeypatch.setattr(language, "EPOCHS", 6)
+    crf = language.fit(documents(rows))
+    assert crf.languages == sorted(["common", *rare])
+    texts = [r[1] for r in rows]
+    shares = crf.document_shares(texts)
+    assert [crf.languages[k] for k in shares.argmax(axis=1)] == [r[2] for r in rows]
+    monkeypatch.setattr(language, "CELLS", 500)
+    assert crf.document_shares(texts) == pytest.approx(shares, abs=1e-5)
