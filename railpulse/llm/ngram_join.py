@@ -518,7 +518,7 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     # One row of each class goes on, under its doc_id; the others, and empty sets, stay behind.
     others = stored(rows.select("_k").distinct().join(classes.select("_k"), "_k", "left_anti"), "other-rows")
-    ones = only(docs, others, "_k", "left_anti").select(F.col("doc_id").alias("id"), "text")
+    ones = once(only(docs, others, "_k", "left_anti").select("doc_id", "text")).select(F.col("doc_id").alias("id"), "text")
     families, near = families_of(ones)
 
     shares = shares_of_bands(rows)
@@ -582,7 +582,7 @@ def once(docs: DataFrame) -> DataFrame:
     # Only repeated rows are grouped, and copies are cut to one per input partition before the shuffle.
     many = only(rows, repeated, "_k", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0), *others)).alias("first"))
     many = many.select(*(c if c in ("doc_id", "text") else F.col("first")[c].alias(c) for c in docs.columns))
-    return only(rows, repeated, "_k", "left_anti").select(*docs.columns).unionByName(many)
+    return only(rows, repeated, "_k", "left_anti").select(*docs.columns).unionByName(stored(many, "repeated-once"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

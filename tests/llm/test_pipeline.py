@@ -46,10 +46,24 @@ def test_items_are_found_under_null_and_repeated_ids(spark, documents):
 def test_repeated_rows_stay_once(documents):
     one, two, three = prose(1, 90), prose(2, 90), prose(4, 90)
     rows = [(1, one, "b"), (1, one, "a"), (1, one, "a"), (1, two), (2, one), (3, None), (3, None), (4, None), (None, three),
-            (None, three), (None, one), (5, two + " x"), (6, prose(5, 90))]
+            (None, three), (None, one), (6, prose(5, 90)), (7, prose(5, 90) + " x")]
     docs = documents(rows)
     kept = ngram_join.one_of_each(docs)
     assert kept.columns == docs.columns
     assert sorted(((r.doc_id, r.text, r.lang) for r in kept.collect()), key=str) == sorted(
         [(1, one, "a"), (1, two, None), (3, None, None), (4, None, None), (None, three, None), (None, one, None),
          (6, prose(5, 90), None)], key=str)
+
+
+def test_repeated_rows_are_compared_once(documents, monkeypatch):
+    compared, families_of = [], ngram_join.families_of
+
+    def counted(ones):
+        compared.append(ones.count())
+        return families_of(ones)
+
+    monkeypatch.setattr(ngram_join, "families_of", counted)
+    text = prose(1, 90)
+    found = ngram_join.near_duplicates(documents([(1, text)] * 5 + [(2, text + " more"), (3, prose(2, 90))])).collect()
+    assert compared == [3]
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(1, 1)] * 5 + [(2, 1), (3, 3)]
