@@ -71,5 +71,79 @@ FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP11 = f"""
+WITH docs AS (SELECT doc_id, {_TERMS} AS terms, len(terms) AS n FROM documents WHERE n > 0),
+totals AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS total FROM docs),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL
+),
+tfs AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM docs) GROUP BY ALL),
+dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+impacts AS (
+  SELECT doc_id, term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * documents) // total))) AS impact
+  FROM tfs JOIN dfs USING (term), totals
+),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(times * impact) AS BIGINT) AS score
+  FROM asked JOIN impacts USING (term) GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
+
+# CRC-32 of a text, bit by bit: the remainder moves right, and takes in the polynomial where a one falls out.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(range(8 * strlen(key)), lambda i:
+      (CAST('0x' || substr(hex(key), 1 + 2 * (i // 8), 2) AS BIGINT) >> (i % 8)) & 1)),
+    lambda c, bit: xor(c >> 1, (xor(c, bit) & 1) * 3988292384)), 4294967295)"""
+
+# Near words: equal but for the letter at one place, or one is the other without a letter.
+OP13 = f"""
+WITH RECURSIVE runs AS (
+  SELECT run, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS key, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY ALL
+),
+hashed AS (SELECT run, times, {_CRC32} AS h FROM runs),
+vocabulary AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    CAST(sum(times) AS BIGINT) AS n
+  FROM hashed GROUP BY word HAVING length(word) >= 6 AND sum(times) >= 5
+),
+cuts AS (
+  SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+  FROM (SELECT *, unnest(range(1, length(word) + 1)) AS p FROM vocabulary)
+),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n
+  FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM cuts a JOIN vocabulary b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM cuts a JOIN vocabulary b ON a.rest = b.word
+),
+best AS (
+  SELECT word, count(*) AS n_near, min(struct_pack(most := -other_n, other := other)) AS best FROM near GROUP BY word
+),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -best.most >= 5 * n THEN best.other END AS form, CASE WHEN -best.most >= 5 * n THEN -best.most END AS form_n
+  FROM vocabulary LEFT JOIN best USING (word)
+),
+chain(word, root) AS (
+  SELECT word, word FROM forms
+  UNION
+  SELECT chain.word, forms.form FROM chain JOIN forms ON chain.root = forms.word WHERE forms.form IS NOT NULL
+)
+SELECT word, form, root, n, n_near, form_n
+FROM forms JOIN chain USING (word) SEMI JOIN (SELECT word AS ended FROM forms WHERE form IS NULL) ON root = ended
+"""
+
+
 def oracle() -> dict[str, str]:
-    return {"op2_ngram_join": OP2, "op9_warc": OP9, "op10_decontamination": OP10}
+    return {
+        "op2_ngram_join": OP2, "op9_warc": OP9, "op10_decontamination": OP10, "op11_lexical": OP11, "op13_spelling": OP13,
+    }

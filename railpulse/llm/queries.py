@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railpulse.llm import arc, decontaminate, embeddings, html_text, language, ngram_join, packing, pii, repeats, toxicity
+from railpulse.llm import (
+    arc, decontaminate, embeddings, html_text, language, lexical, ngram_join, packing, pii, repeats, spelling, token_files,
+    toxicity,
+)
 from railpulse.llm import oracle as sql
 from railpulse.llm.common import documents
 from railpulse.session import prepare
@@ -61,8 +64,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_digest(documents(spark, sf_dir), tokenizer_path())
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_toxicity, op2_ngram_join, op3_html, op4_language, op5_repeats, op6_embeddings, op7_packing, op8_pii, op9_warc, op10_decontamination]
+    found = [
+        op1_toxicity, op2_ngram_join, op3_html, op4_language, op5_repeats, op6_embeddings, op7_packing, op8_pii, op9_warc,
+        op10_decontamination, op11_lexical, op12_token_files, op13_spelling,
+    ]
 
     def pinned(work):
         return lambda spark, sf_dir: work(prepare(spark), sf_dir)
