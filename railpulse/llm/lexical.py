@@ -33,7 +33,7 @@ from railpulse.llm.common import stored
 from railpulse.llm.treap import Treap, compressed
 
 BEST = 20
-SHARD_DOCS = 1 << 14
+SHARD_DOCS = 1 << 12
 BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 8 << 20
 

@@ -3,7 +3,7 @@
 The grid is a square with a side of a power of two. A node stands for a square of it and has up to four children, for its
 quarters. Nodes without a weight below them do not exist. Per level there is a bitmap with four bits for
 each node of the level (which quarters exist) and, for every node, by how much its largest weight falls
-short of its parent's, in as few bytes as the largest difference takes. A child's place is the number of bits set
+short of its parent's, in as many byte planes as the largest difference takes. A child's place is the number of bits set
 before its own.
 """
 
@@ -45,8 +45,9 @@ def compressed(rows: np.ndarray, columns: np.ndarray, weights: np.ndarray) -> by
         bits = np.zeros(4 * len(opens), bool)
         bits[4 * node + (path & np.uint64(3)).astype(np.int64)] = True
         short = above[node] - largest
-        width = next(w for w in (1, 2, 4, 8) if int(short.max(initial=0)) < 1 << (8 * w))
-        parts.append(_LEVEL.pack(len(opens), width) + np.packbits(bits).tobytes() + short.astype(f"<u{width}").tobytes())
+        width = max(1, -(-int(short.max(initial=0)).bit_length() // 8))
+        planes = short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+        parts.append(_LEVEL.pack(len(opens), width) + np.packbits(bits).tobytes() + planes.T.tobytes())
         path, largest = parent[opens], above
     return _HEAD.pack(levels, int(largest[0]) if len(largest) else 0) + b"".join(reversed(parts))
 
@@ -75,13 +76,15 @@ class Treap:
             bits = np.unpackbits(packed, count=4 * nodes)
             child = np.where(bits, np.cumsum(bits, dtype=np.int32) - 1, np.int32(-1))
             parent = np.flatnonzero(bits) // 4
-            short = np.frombuffer(data, f"<u{width}", len(parent), at)
+            planes = np.frombuffer(data, np.uint8, width * len(parent), at).reshape(width, len(parent))
             at += width * len(parent)
-            above = above[parent] - short.astype(np.int64)
+            above = above[parent]
+            for place, plane in enumerate(planes):
+                above -= plane.astype(np.int64) << (8 * place)
             self.levels.append(Level(child, above))
 
     def best_columns(
-        self, rows: np.ndarray, times: np.ndarray, count: int, beam: int = 128
+        self, rows: np.ndarray, times: np.ndarray, count: int, beam: int = 256
     ) -> tuple[np.ndarray, np.ndarray]:
         """The ``count`` columns with the largest sums of weights over ``rows``, each ``times`` over, and their sums.
 
