@@ -7,10 +7,10 @@ of a block with itself and with the next one, which gives all squared distances
 distance of at most 2 are verified letter by letter.
 
 Blocks are made narrower before they are multiplied, without losing a pair. Letters are divided into ``CLASSES`` classes
-by code point. One edit changes at most two letters, so of three classes one at least keeps all its letters: near
-words share the exact letters of some class. A block is therefore a length and the letters of one class, and a word is in
-three of them. A pair that shares several classes is kept in the first. A block with more than ``TILE_WORDS`` words is
-cut into tiles by hash, and every two tiles meet in a task of their own, so no block is held whole.
+by code point. One edit changes at most two letters, so of four classes two at least keep all their letters: near
+words share the exact letters of some two classes. A block is therefore a length and the letters of two classes, and a
+word is in six of them. A pair that shares more than two is kept in the first. A block with more than ``TILE_WORDS``
+words is cut into tiles by hash, and every two tiles meet by themselves, so no block is held whole.
 
 Words are counted over whole texts before anything is compared, partly in each input partition.
 
@@ -21,6 +21,7 @@ with equal counts the smallest in code-point order is the form.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,15 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from railpulse.llm.common import stored
-from railpulse.operators.keyed import join_lookup
 
 MIN_LENGTH = 6
 MIN_COUNT = 5
 FORM_RATIO = 5
 LOSS = 199
-CLASSES = 3
-TILE_WORDS = 1024
-CHUNK_WORDS = 1024
+CLASSES = 4
+SHARED = list(itertools.combinations(range(CLASSES), CLASSES - 2))
+TILE_WORDS = 512
+CHUNK_WORDS = 512
 
 _LETTERS = r"[A-Za-zÀ-ÿ]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -81,41 +82,46 @@ def _class_letters(word: F.Column, which: int) -> F.Column:
 
 
 def tiles(words: DataFrame) -> DataFrame:
-    """Rows (block, tile_a, tile_b, left, word, n): what meets in a tile pair.
+    """Rows (block, shared, tile_a, tile_b, tile, left, word, n): what meets in a tile pair.
 
-    A word is in the block of its length, as a ``left`` word, and in that of the length before, where the
-    words one letter shorter wait for it.
+    ``shared`` numbers the two classes. A word is in the block of its length, as a ``left`` word, and in that of the
+    length before, where the words one letter shorter wait for it. Blocks are numbered by hash; should two
+    have one number, their words meet in vain.
     """
+    classes = words.select("word", "n", *[_class_letters(F.col("word"), k).alias(f"_{k}") for k in range(CLASSES)])
     places = F.array(*[
         F.struct(
-            F.concat_ws(":", F.lit(which), (F.length("word") - shift), _class_letters(F.col("word"), which)).alias("block"),
+            F.lit(number).alias("shared"),
+            F.xxhash64(F.lit(number), F.length("word") - shift, *[f"_{k}" for k in pair]).alias("block"),
             F.lit(shift == 0).alias("left"),
         )
-        for which in range(CLASSES) for shift in (0, 1)
+        for number, pair in enumerate(SHARED) for shift in (0, 1)
     ])
-    placed = words.withColumn("place", F.explode(places)).select("word", "n", "place.*")
+    placed = classes.select("word", "n", F.explode(places).alias("place")).select("word", "n", "place.*")
     counts = placed.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.max("left").alias("met"))
     # Blocks where nothing can meet go; few are so large that they need tiles.
     met = placed.join(counts.where("met and size > 1"), "block")
     n_tiles = F.ceil(F.col("size") / F.lit(TILE_WORDS)).cast("int")
     tile = F.pmod(F.xxhash64("word"), n_tiles).cast("int")
-    dealt = met.select("block", "left", "word", "n", n_tiles.alias("tiles"), tile.alias("tile"))
+    dealt = met.select("block", "shared", "left", "word", "n", n_tiles.alias("tiles"), tile.alias("tile"))
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    return dealt.select("block", "left", "word", "n", "tile", other.alias("other")).select(
-        "block", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"),
+    return dealt.select("block", "shared", "left", "word", "n", "tile", other.alias("other")).select(
+        "block", "shared", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"),
         "tile", "left", "word", "n",
     )
 
 
-def letter_counts(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of every letter of every word, and the words as rows of code points that end in zeros."""
+def letter_counts(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of every letter in every word, the letters, and the words as rows of code points that end in zeros."""
     longest = max(map(len, words))
     points = np.frombuffer("".join(w.ljust(longest, "\0") for w in words).encode("utf-32-le"), "<u4")
+    letters = np.flatnonzero(np.bincount(points))
+    column = np.zeros(int(letters[-1]) + 1, np.int64)
+    column[letters] = np.arange(len(letters))
     points = points.reshape(len(words), longest)
-    letters, column = np.unique(points, return_inverse=True)
-    counts = np.zeros((len(words), len(letters)), np.float32)
-    np.add.at(counts, (np.arange(len(words))[:, None], column.reshape(points.shape)), 1)
-    return counts[:, letters != 0], points
+    cells = np.arange(len(words))[:, None] * len(letters) + column[points]
+    counts = np.bincount(cells.ravel(), minlength=len(words) * len(letters)).reshape(len(words), len(letters))
+    return counts[:, letters != 0].astype(np.float32), letters[letters != 0], points
 
 
 def one_edit(short: np.ndarray, long: np.ndarray, lengths: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -131,68 +137,76 @@ def one_edit(short: np.ndarray, long: np.ndarray, lengths: np.ndarray, more: np.
     return np.where(more, fits.all(axis=1), replaced)
 
 
-def near_pairs(words: list[str], block: np.ndarray, left: np.ndarray, tile: np.ndarray, crossing: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (i, j) of near words in a chunk of whole tile pairs, each pair once.
+def near_pairs(
+    words: list[str], group: np.ndarray, shared: np.ndarray, left: np.ndarray, tile: np.ndarray, crossing: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (i, j) of near words in a chunk of whole tile pairs (``group``), each pair once in all blocks.
 
     ``crossing`` marks the rows of pairs of two different tiles, in which words of one tile are not compared again.
     """
-    counts, points = letter_counts(words)
+    counts, letters, points = letter_counts(words)
     norm = (counts * counts).sum(axis=1)
-    squared = norm[:, None] + norm[None, :] - 2 * (counts @ counts.T)
-    meet = (squared <= 2) & (block[:, None] == block[None, :]) & left[:, None]
-    meet &= ~(crossing[:, None] & (tile[:, None] == tile[None, :]))
-    i, j = np.nonzero(meet)
+    gram = counts @ counts.T
+    # Squared distances of at most 2, the sum of the norms less twice the product.
+    i, j = np.nonzero(2 * gram >= (norm - 2)[:, None] + norm[None, :])
+    keep = (group[i] == group[j]) & left[i] & ~(crossing[i] & (tile[i] == tile[j]))
+    i, j = i[keep], j[keep]
     length = (points != 0).sum(axis=1)
     # Of equally long words both are left, and meet twice.
-    more = length[j] == length[i] + 1
-    keep = more | (left[j] & (i < j))
+    more = (length[j] == length[i] + 1) & ~left[j]
+    keep = more | (left[j] & (i < j) & (length[i] == length[j]))
     i, j, more = i[keep], j[keep], more[keep]
     near = one_edit(points[i], points[j], length[i], more)
-    return i[near], j[near]
-
-
-def _shared_class(a: str, b: str) -> int:
-    """The first class whose letters two words share."""
-    for which in range(CLASSES):
-        if sorted(c for c in a if ord(c) % CLASSES == which) == sorted(c for c in b if ord(c) % CLASSES == which):
-            return which
-    return CLASSES
+    i, j = i[near], j[near]
+    changed = counts[i] != counts[j]
+    same = [~changed[:, letters % CLASSES == k].any(axis=1) for k in range(CLASSES)]
+    both = np.column_stack([np.logical_and.reduce([same[k] for k in pair]) for pair in SHARED])
+    here = both.any(axis=1) & (both.argmax(axis=1) == shared[i])
+    return i[here], j[here]
 
 
 def links(words: DataFrame) -> DataFrame:
     """Rows (word, other, other_n) for every two near words, in both directions."""
-    meeting = tiles(words)
     key = ["block", "tile_a", "tile_b"]
-    dealt = meeting.repartition(*key).sortWithinPartitions(*key)
+    dealt = tiles(words).repartition(*key).sortWithinPartitions(*key)
+
+    def opens(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
+        """Whether a row begins another tile pair than the one before it."""
+        new = np.zeros(batch.num_rows, bool)
+        for name in key:
+            values = batch.column(name).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        return new
 
     def compared(rows: pa.Table) -> pa.RecordBatch:
-        text = rows.column("word").to_pylist()
-        blocks = rows.column("block").to_pylist()
-        a, b = (rows.column(c).to_numpy() for c in ("tile_a", "tile_b"))
-        n = rows.column("n").to_numpy()
-        groups = np.cumsum([True, *(x != y for x, y in zip(zip(blocks, a.tolist(), b.tolist()), zip(blocks[1:], a[1:].tolist(), b[1:].tolist())))])
+        column = {c: rows.column(c).to_numpy() for c in ("shared", "tile", "tile_a", "tile_b", "n")}
         left = rows.column("left").combine_chunks().to_numpy(zero_copy_only=False)
-        i, j = near_pairs(text, groups, left, rows.column("tile").to_numpy(), a != b)
-        pairs = [(x, y) for x, y in zip(i.tolist(), j.tolist()) if _shared_class(text[x], text[y]) == int(blocks[x].split(":")[0])]
-        x = np.array([p[0] for p in pairs] + [p[1] for p in pairs], np.int64)
-        y = np.array([p[1] for p in pairs] + [p[0] for p in pairs], np.int64)
         word = rows.column("word").combine_chunks()
-        return pa.RecordBatch.from_arrays([word.take(pa.array(x)), word.take(pa.array(y)), pa.array(n[y])], ["word", "other", "other_n"])
+        i, j = near_pairs(
+            word.to_pylist(), np.cumsum(opens(rows)), column["shared"], left, column["tile"],
+            column["tile_a"] != column["tile_b"],
+        )
+        one, other = np.concatenate([i, j]), np.concatenate([j, i])
+        return pa.RecordBatch.from_arrays(
+            [word.take(pa.array(one)), word.take(pa.array(other)), pa.array(column["n"][other])], ["word", "other", "other_n"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Chunks of whole tile pairs; one tile pair has a few thousand rows at most."""
+        """Chunks of whole tile pairs, whose sizes are bounded."""
         held: list[pa.RecordBatch] = []
         count = 0
         last = None
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in key)))
+            new = opens(batch)
+            this = tuple(batch.column(c)[0].as_py() for c in key)
+            new[0] = this != last
+            last = tuple(batch.column(c)[batch.num_rows - 1].as_py() for c in key)
             at = 0
-            for row, this in enumerate(keys):
-                if this != last and count + row - at >= CHUNK_WORDS:
+            for row in np.flatnonzero(new).tolist():
+                if count + row - at >= CHUNK_WORDS:
                     held.append(batch.slice(at, row - at))
                     yield compared(pa.Table.from_batches(held))
                     held, count, at = [], 0, row
-                last = this
             held.append(batch.slice(at))
             count += batch.num_rows - at
         if count:

@@ -31,7 +31,7 @@ dictionary or index was changed is refused.
 from __future__ import annotations
 
 import hashlib
-import re
+import string
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -56,8 +56,8 @@ DICTIONARY_BYTES = 1 << 16
 
 _MAGIC = b"RPTOKEN1"
 _HEADER = struct.Struct("<8s32sIIQQQQQI12x")
-_MARKED = re.compile(r"([^\W\d_]+)([^\w\s]+)")
-_DOC_ID = ("doc_id", "long")
+# None of these is a letter or a digit, so a run of them at a word's end is tokens of its own.
+_MARKS = string.punctuation
 
 
 class BadStore(ValueError):
@@ -65,20 +65,27 @@ class BadStore(ValueError):
 
 
 class PieceEncoder(WordEncoder):
-    """Words of letters with any marks after them are taken apart before they are encoded."""
+    """Takes letters and the marks after them apart before words are encoded, and asks for ids without offsets."""
+
+    def _whole(self, word: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast([word], add_special_tokens=False)
+        return np.array(found[0].ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
-        marked, plain = [], set()
-        for word in words:
-            found = None if word.isalpha() else _MARKED.fullmatch(word)
-            if found and found[1].isalpha():
-                marked.append((word, found[1], found[2]))
-                plain.update((found[1], found[2]))
-            else:
-                plain.add(word)
-        super().learn(plain - self.known.keys())
-        for word, letters, marks in marked:
-            self.known[word] = self.known[letters] + self.known[marks]
+        known = self.known
+        plain = [w for w in words if w.isalpha()]
+        others = [w for w in words if not w.isalpha()]
+        letters = [w.rstrip(_MARKS) for w in others]
+        bare = {s for s in letters if s.isalpha()}.difference(known).difference(plain)
+        self._letters([*plain, *bare])
+        for word, part in zip(others, letters):
+            marks = word[len(part):]
+            if not part.isalpha():
+                known[word] = self._whole(word)
+                continue
+            if marks not in known:
+                known[marks] = self._whole(marks)
+            known[word] = known[part] + known[marks]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -108,10 +115,13 @@ def _text_slices(column: pa.Array) -> Iterator[list[str]]:
 
 def train_dictionary(docs: DataFrame, path: str, width: int, end_id: int) -> bytes:
     """A dictionary for id arrays; empty if there is too little to learn from."""
+    # The smallest hashes are found among about twice as many as are wanted, and not by sorting all.
+    rows = max(docs.count(), 2 * SAMPLE_DOCS)
+    highest = ((1 << 64) - 1) * 2 * SAMPLE_DOCS // rows - (1 << 63)
     key = F.xxhash64("doc_id", "text")
     sample = (
-        docs.where(F.octet_length("text").between(1, SAMPLE_BYTES))
-        .select(key.alias("key"), "text").orderBy("key", "text").limit(SAMPLE_DOCS)
+        docs.where(F.octet_length("text").between(1, SAMPLE_BYTES)).select(key.alias("key"), "text")
+        .where(F.col("key") <= F.lit(highest)).orderBy("key", "text").limit(SAMPLE_DOCS)
     )
 
     def serialize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
