@@ -68,8 +68,14 @@ def write_and_read(df: DataFrame, path: str) -> DataFrame:
     """Write an intermediate table and go on from its files.
 
     Cuts the lineage, so that what follows neither repeats the work nor loses it
-    with an executor. The folder is reused by the next run.
+    with an executor.
     """
     schema = df.schema
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark's file systems have it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

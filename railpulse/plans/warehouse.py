@@ -5,12 +5,15 @@ marts are read off the second, which has one row for about 170 of the first,
 and are rebuilt in full.
 
 An incremental run leaves the tables a rebuild would. It writes observations
-first and sightings second. What a run stopped in between has not seen is still
-newer than the progress recorded in the sightings, so the next run picks it up.
+first and sightings second, and notes in the progress table (``progress``) what
+it is about; the next run picks up what a stopped one has left.
 """
 
 from __future__ import annotations
 
+import uuid
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -19,11 +22,12 @@ from railpulse.operators import arrivals as arrival_ops
 from railpulse.operators import headways as headway_ops
 from railpulse.operators import sightings as sighting_ops
 from railpulse.operators.dimensions import dim_routes, dim_stations
-from railpulse.operators.keyed import BROADCAST_ROWS, join_lookup, measured, upsert
+from railpulse.operators.keyed import BROADCAST_ROWS, join_lookup, upsert
 from railpulse.operators.sightings import PAIR
 from railpulse.operators.staging import NATURAL_KEY, preference_key, stage
 from railpulse.params import DEFAULTS, Params
 from railpulse.plans import tables as t
+from railpulse.plans.progress import LITERAL_DAYS, LITERAL_FEEDS, Progress, among, few
 from railpulse.schema import (
     ARRIVALS_SCHEMA, EXCESS_WAIT_SCHEMA, HEADWAYS_SCHEMA, SIGHTINGS_SCHEMA, STAGED_SCHEMA,
 )
@@ -61,12 +65,31 @@ class Warehouse:
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
         self.params = params
+        # Two runs share no intermediate table.
+        self._run = f"_work/{uuid.uuid4().hex}"
 
     # -- reading -----------------------------------------------------------
 
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _work(self, name: str) -> str:
+        return self._path(f"{self._run}/{name}")
+
+    def finish(self) -> None:
+        """Remove the intermediate tables of this run."""
+        t.remove(self.spark, self._path(self._run))
+
+    def progress(self) -> Progress:
+        """How far each feed has come, after anything a stopped run has left was taken up."""
+        staged = self._existing(self._stored_staged())
+        progress = Progress(self.spark, self.root)
+        if progress.exists():
+            progress.recover(staged)
+        else:
+            progress.reset(staged, self._stored_sightings())
+        return progress
+
     def _stored_staged(self) -> DataFrame | None:
         return t.read_table(self.spark, self._path("stg_stop_time_updates"), STORED_STAGED)
 
@@ -115,16 +138,19 @@ class Warehouse:
 
     def rebuild_observations(self, landing: DataFrame) -> None:
         rows = t.require_schema(stage(landing), STAGED_SCHEMA, "stg_stop_time_updates")
+        progress = Progress(self.spark, self.root)
+        if progress.exists():
+            progress.begin_all()
         t.overwrite(_dated(rows), self._path("stg_stop_time_updates"), "observed_date")
+        progress.reset(self._stored_staged(), None)
 
     def rebuild_sightings(self) -> None:
-        staged = self._existing(self._stored_staged())
+        staged, progress = self._existing(self._stored_staged()), self.progress()
         found = sighting_ops.describe(
-            sighting_ops.latest_by_pair(staged),
-            sighting_ops.feed_watermark(staged),
-            keep=("first_seen_at",),
+            sighting_ops.latest_by_pair(staged), progress.watermark(), keep=("first_seen_at",),
         )
         t.overwrite(found, self._path("int_last_sightings"), "service_date_raw")
+        progress.sighted(self._stored_sightings())
 
     def rebuild(self, landing: DataFrame, stops: DataFrame | None = None, routes: DataFrame | None = None) -> None:
         """Everything from all landing rows, whatever is held."""
@@ -154,49 +180,60 @@ class Warehouse:
     # -- incremental update --------------------------------------------------
 
     def landing_cutoff(self) -> int | None:
-        """Epoch second to read landing rows from; None before the first build.
-
-        The newest day is found from the folders first, so that only its rows
-        are read and the cost does not grow with the history.
-        """
-        stored = self._stored_staged()
-        if stored is None:
-            return None
-        day = stored.agg(F.max("observed_date")).first()[0]
-        if day is None:
-            return None
-        newest = (
-            stored.where(F.col("observed_date") == F.lit(day))
-            .agg(clock.timestamp_to_epoch(F.max("observed_at")))
-            .first()[0]
+        """Epoch second to read landing rows from; None before the first build. No observation is read for it."""
+        newest = None if self._stored_staged() is None else self.progress().newest()
+        return None if newest is None else newest - self.params.lookback_seconds
+
+    def _landed_since_by_feed(self, landing: DataFrame, progress: Progress) -> DataFrame:
+        """Landing rows after the cutoff of their own feed; all rows of a feed that is new."""
+        newest = progress.feeds().select(
+            "feed_id", (clock.timestamp_to_epoch(F.col("observed_through")) - self.params.lookback_seconds).alias("_cutoff"),
         )
-        return newest - self.params.lookback_seconds
-
-    def update(self, landing: DataFrame, stops: DataFrame | None = None, routes: DataFrame | None = None) -> None:
+        known = newest.limit(LITERAL_FEEDS + 1).collect()
+        if len(known) > LITERAL_FEEDS:
+            named = newest.where(F.col("feed_id").isNotNull())
+            joined = join_lookup(landing, named, ["feed_id"], "left")
+            return joined.where(F.col("_cutoff").isNull() | (F.col("observed_at") >= F.col("_cutoff"))).drop("_cutoff")
+        late = F.lit(False)
+        for feed, cutoff in known:
+            late = late | (F.col("feed_id").eqNullSafe(F.lit(feed)) & (F.col("observed_at") < cutoff))
+        return landing.where(~late)
+
+    def update(
+        self, landing: DataFrame, stops: DataFrame | None = None, routes: DataFrame | None = None, per_feed: bool = False
+    ) -> None:
         """Take in what landed since the last run, and bring everything up to date."""
-        self.update_observations(landing)
+        self.update_observations(landing, per_feed=per_feed)
         self.update_sightings()
         self.build_marts(stops, routes)
+        self.finish()
 
-    def update_observations(self, landing: DataFrame, any_age: bool = False) -> DataFrame | None:
+    def update_observations(self, landing: DataFrame, any_age: bool = False, per_feed: bool = False) -> DataFrame | None:
         """Add the observations that are new; returns those looked at, None after a rebuild.
 
         Older than the lookback is too late, which spares reading the landing
-        zone again. With ``any_age`` nothing is: for files that are seen once.
+        zone again. With ``any_age`` nothing is: for files that are seen once. Age
+        is told from the newest observation of all feeds, with ``per_feed`` from
+        the newest of the same feed, so that a feed delivered hours late is not lost.
         ``landing`` may be the whole landing zone or only its new files. Rows
         already held are told by their key. They stay unless an earlier fetch
         of theirs has turned up, and then only the days concerned are written
         again; new observations are appended.
         """
         stored = self._stored_staged()
-        cutoff = self.landing_cutoff()
-        if stored is None or cutoff is None:
+        progress = None if stored is None else self.progress()
+        newest = None if stored is None else progress.newest()
+        if newest is None:
             self.rebuild_observations(landing)
             return None
-        recent = stage(landing if any_age else landed_since(landing, cutoff))
+        if per_feed and not any_age:
+            landing = self._landed_since_by_feed(landing, progress)
+        elif not any_age:
+            landing = landed_since(landing, newest - self.params.lookback_seconds)
+        recent = stage(landing)
         fresh = t.write_and_read(
             _dated(t.require_schema(recent, STAGED_SCHEMA, "stg_stop_time_updates")),
-            self._path("_work/fresh"),
+            self._work("fresh"),
         )
         span = fresh.agg(F.min("observed_at"), F.min("observed_date"), F.max("observed_date")).first()
         if span[0] is None:
@@ -211,13 +248,22 @@ class Warehouse:
         ).where(
             F.col("held.held_as").isNull() | (preference_key("fresh") < F.col("held.held_as"))
         ).select("fresh.*", F.col("held.held_as").isNotNull().alias("replaces"))
-        changes = t.write_and_read(marked, self._path("_work/changes"))
+        changes = t.write_and_read(marked, self._work("changes"))
+
+        if changes.isEmpty():
+            return fresh
+        progress.begin(changes, first_day, last_day)
+        self._write_changes(changes, held)
+        progress.staged(changes)
+        return fresh
 
+    def _write_changes(self, changes: DataFrame, held: DataFrame) -> None:
+        """Append new rows; write days again where a held row is replaced."""
         path = self._path("stg_stop_time_updates")
         replaced = changes.where("replaces")
         if replaced.isEmpty():
             t.append(changes.drop("replaces"), path, "observed_date")
-            return fresh
+            return
         days = replaced.select("observed_date").distinct()
         rewritten = upsert(
             held.join(days, "observed_date", "left_semi").select(*STORED_STAGED.fieldNames()),
@@ -228,7 +274,6 @@ class Warehouse:
         # Appended first: rows added twice by a rerun are told by their key.
         t.append(added, path, "observed_date")
         t.replace_partitions(rewritten, path, "observed_date")
-        return fresh
 
     def update_sightings(self, fresh: DataFrame | None = None) -> None:
         """Recompute the pairs whose answer may have changed, from their whole history.
@@ -240,49 +285,40 @@ class Warehouse:
         Touched are the pairs seen since the previous progress of their feed,
         less the lookback: those with new observations, and those that were in
         the newest snapshot and had therefore not vanished. All others were
-        gone before and still are.
+        gone before and still are. A feed that took in nothing is left alone.
 
-        Only days that can matter are read. Progress and touch depend on rows
-        no older than the least advanced feed's progress less the lookback; the
-        history of a touched pair begins when it was first seen, which is kept
-        with its sighting.
+        Only days that can matter are read: those on which a changed feed was
+        observed after its progress, and the days a touched pair was in sight
+        before, which its sighting tells. How long other feeds have been silent
+        makes no difference, nor does a gap in a feed that is back.
         """
         staged, held = self._existing(self._stored_staged()), self._stored_sightings()
-        previous = None if held is None else self._progress(held)
-        since = None if previous is None else previous.agg(F.to_date(clock.shift(
-            F.min("seen_through"), hours=-self.params.incremental_lookback_hours
-        ))).first()[0]
-        if since is None:
+        if held is None:
             self.rebuild_sightings()
             return
-        recent = staged.where(F.col("observed_date") >= F.lit(since))
-        seen = (
-            self._with_progress(recent, previous)
-            .where(sighting_ops.touched_since(self.params.incremental_lookback_hours))
-            .select(*PAIR)
-        )
-        begin = since
+        progress = self.progress()
+        seen, days = progress.touched(staged, self.params.incremental_lookback_hours)
+        seen = seen.select(*PAIR)
         if fresh is not None:
             seen = seen.unionByName(fresh.where(sighting_ops.can_arrive()).select(*PAIR))
-            begin = min(since, fresh.agg(F.min("observed_date")).first()[0] or since)
-        touched = t.write_and_read(seen.distinct(), self._path("_work/touched"))
+            days = _together(days, few(fresh.select("observed_date").distinct(), LITERAL_DAYS))
+        touched = t.write_and_read(seen.distinct(), self._work("touched"))
+        if touched.isEmpty():
+            progress.sighted(None)
+            return
         same_pair = F.expr(" and ".join(f"held.{k} <=> touched.{k}" for k in PAIR))
-        earliest = _of_service_dates(held, touched).alias("held").join(
+        in_sight = _of_service_dates(held, touched).alias("held").join(
             touched.alias("touched"), same_pair, "left_semi",
-        ).agg(F.to_date(F.min("first_seen_at"))).first()[0]
-        begin = begin if earliest is None else min(begin, earliest)
+        ).select(F.explode(F.sequence(F.to_date("first_seen_at"), F.to_date("last_seen_at"))).alias("day"))
+        days = _together(days, few(in_sight.distinct(), LITERAL_DAYS))
 
         # Only touched pairs are folded, not all of those days.
-        history = staged.where(F.col("observed_date") >= F.lit(begin)).alias("held").join(
-            touched.alias("touched"), same_pair, "left_semi"
-        )
-        watermark = sighting_ops.feed_watermark(recent if fresh is None else staged)
+        recent = staged if days is None else staged.where(among("observed_date", days))
+        history = recent.alias("held").join(touched.alias("touched"), same_pair, "left_semi")
         recomputed = t.write_and_read(
-            sighting_ops.describe(sighting_ops.latest_by_pair(history), watermark, keep=("first_seen_at",)),
-            self._path("_work/recomputed"),
+            sighting_ops.describe(sighting_ops.latest_by_pair(history), progress.watermark(), keep=("first_seen_at",)),
+            self._work("recomputed"),
         )
-        if recomputed.isEmpty():
-            return
         concerned = _of_service_dates(held, recomputed)
         t.replace_partitions(
             upsert(
@@ -292,15 +328,7 @@ class Warehouse:
             ),
             self._path("int_last_sightings"), "service_date_raw",
         )
-
-    def _progress(self, held: DataFrame) -> DataFrame:
-        """Progress per feed, read from the sightings once."""
-        progress = sighting_ops.previous_progress(held)
-        small = measured(progress)
-        return small if small is not None else t.write_and_read(progress, self._path("_work/progress"))
-
-    def _with_progress(self, staged: DataFrame, previous: DataFrame) -> DataFrame:
-        return join_lookup(staged.where(sighting_ops.can_arrive()), previous, ["feed_id"], "left")
+        progress.sighted(recomputed)
 
     # -- upkeep ----------------------------------------------------------------
 
@@ -330,5 +358,10 @@ def _of_service_dates(held: DataFrame, rows: DataFrame) -> DataFrame:
     return held.where(chosen | date.isNull() if any(r[0] is None for r in found) else chosen)
 
 
+def _together(days: list[date] | None, more: list[date] | None) -> list[date] | None:
+    """All the days of two lists; None, which stands for too many to name, wins."""
+    return None if days is None or more is None else sorted({*days, *more})
+
+
 def _dated(staged: DataFrame) -> DataFrame:
     return staged.withColumn("observed_date", F.to_date("observed_at"))

@@ -43,6 +43,7 @@ def follow_landing(
         warehouse.update_sightings(warehouse.update_observations(batch, any_age=True))
         if marts:
             warehouse.build_marts()
+        warehouse.finish()
 
     writer = (
         stream_landing(spark, landing_root, max_files)
