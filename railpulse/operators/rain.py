@@ -13,13 +13,11 @@ no step after that sees a route's observations in one place.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql import types as T
 
 from railpulse.functions.clock import hour_floor
+from railpulse.functions.normal import two_sided_p
 from railpulse.operators.summary import MIN_HEADWAYS_PER_HOUR
 
 # Below these no slope is reported.
@@ -146,12 +144,5 @@ def rain_effect(
 
 
 def with_p_values(effect: DataFrame) -> DataFrame:
-    """Two-sided normal p-values: a row per route, so Python may do it."""
-
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            z = (batch["minutes_per_mm"] / batch["std_error"]).abs()
-            yield batch.assign(p_value=(z / math.sqrt(2)).map(math.erfc, na_action="ignore"))
-
-    schema = T.StructType([*effect.schema.fields, T.StructField("p_value", T.DoubleType())])
-    return effect.mapInPandas(add, schema)
+    """Two-sided normal p-values of the slopes; null where there is no slope."""
+    return effect.withColumn("p_value", two_sided_p(F.col("minutes_per_mm") / F.col("std_error")))

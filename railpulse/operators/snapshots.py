@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from railpulse.functions import clock, identifiers
 from railpulse.functions.values import empty_to_null, zero_to_null
-from railpulse.operators.keyed import lag_across_slices
+from railpulse.operators.keyed import first_per_key, lag_across_slices, measured
 from railpulse.params import DEFAULTS, Params
 
 _DAY = 86_400
@@ -57,20 +57,46 @@ def placed_in_time(snapshots: DataFrame) -> DataFrame:
     return snapshots.where(F.col("header.timestamp") > 0)
 
 
-def suppress_repeats(snapshots: DataFrame) -> DataFrame:
-    """Drop a snapshot whose header is that of the one fetched before it.
+def changed_headers(snapshots: DataFrame) -> DataFrame:
+    """Feed, fetch and header of the snapshots to keep, and how many rows have all three.
 
-    Only consecutive repeats of a feed go; A, B, A keeps all three. Headers are
-    compared day by day, with each day's last one carried to the next, so a
-    feed with a long history is spread over its days.
+    Three columns of the snapshots are read, shuffled and put in order; what
+    the messages hold is not. Headers are compared day by day, with each
+    day's last one carried to the next, so a feed with a long history is spread
+    over its days.
     """
-    order = ["fetched_at", "_header"]
-    headed = placed_in_time(snapshots).withColumn("_header", F.col("header.timestamp"))
+    headers = (
+        placed_in_time(snapshots)
+        .groupBy("feed_id", "fetched_at", F.col("header.timestamp").alias("_header"))
+        .agg(F.count(F.lit(1)).alias("_copies"))
+    )
     compared = lag_across_slices(
-        headed, ["feed_id"], F.floor(F.col("fetched_at") / _DAY), order, "_header", "_before"
+        headers, ["feed_id"], F.floor(F.col("fetched_at") / _DAY), ["fetched_at", "_header"], "_header", "_before"
     )
     changed = F.col("_before").isNull() | (F.col("_before") != F.col("_header"))
-    return compared.where(changed).drop("_header", "_before")
+    return compared.where(changed).drop("_before")
+
+
+def suppress_repeats(snapshots: DataFrame) -> DataFrame:
+    """Drop a snapshot whose header is that of the one fetched before it.
+
+    Only consecutive repeats of a feed go; A, B, A keeps all three. Which rows
+    stay is found from their headers; the messages are then read once, and
+    not sorted. Of rows with the same fetch and header one stays.
+    """
+    kept = changed_headers(snapshots)
+    small = measured(kept)
+    kept = kept if small is None else small
+    wanted = (kept.hint("shuffle_hash") if small is None else F.broadcast(kept)).alias("kept")
+    headed = placed_in_time(snapshots).withColumn("_header", F.col("header.timestamp")).alias("all")
+    found = headed.join(wanted, F.expr(
+        "all.feed_id <=> kept.feed_id and all.fetched_at <=> kept.fetched_at and all._header = kept._header"
+    )).select("all.*", "kept._copies")
+    if not kept.where(F.col("_copies") > 1).isEmpty():
+        key = ["feed_id", "fetched_at", "_header"]
+        first = first_per_key(found.where(F.col("_copies") > 1), key, [F.xxhash64(F.to_json("entity"))])
+        found = found.where(F.col("_copies") == 1).unionByName(first)
+    return found.drop("_header", "_copies")
 
 
 def to_landing(snapshots: DataFrame) -> DataFrame:

@@ -241,7 +241,26 @@ _FE_COLUMNS = """service_date_raw, route_id, stop_id, station_id, platform_direc
   round(excess_wait_minutes, 9) + 0.0 as excess_wait_minutes"""
 
 
-def _rain(min_headways: int) -> str:
+_RAIN_COLUMNS = """case when why is null then 'fitted' else 'insufficient' end as status, why,
+  case when why is null then round(slope, 6) + 0.0 end as minutes_per_mm,
+  case when why is null then round(se, 6) end as std_error,
+  case when why is null then round(slope - 1.959963984540054 * se, 6) + 0.0 end as ci_low,
+  case when why is null then round(slope + 1.959963984540054 * se, 6) + 0.0 end as ci_high, n,
+  case when why is null then wet end as wet_hours, case when why is null then round(r2, 6) end as r_squared,
+  case when why is null then abs(slope) <= 1.959963984540054 * se end as straddles_zero"""
+
+# The normal tail beyond u * sqrt(2), both sides: a sum of 200 terms near the middle, a continued fraction further out.
+_U = "(abs(slope / se) / sqrt(2))"
+_P_VALUE = f"""case when why is null then round(case
+    when {_U} < 2 then 1 - 2 * {_U} * exp(-{_U} * {_U}) / sqrt(pi()) * list_reduce(
+      list_prepend(1.0::double, list_transform(range(200, 0, -1), lambda k: k::double)),
+      lambda a, k: 1 + a * 2 * {_U} * {_U} / (2 * k + 1))
+    else exp(-{_U} * {_U}) / sqrt(pi()) / list_reduce(
+      list_prepend({_U}, list_transform(range(200, 0, -1), lambda k: k::double)), lambda a, k: {_U} + k / 2 / a)
+    end, 6) end as p_value"""
+
+
+def _rain(min_headways: int, columns: str = _RAIN_COLUMNS) -> str:
     """Row by row: centred within the hour, leverage and residual of every row."""
     return _sql(f"""
 , sample as (select route_id, hour_of_day, excess_wait_minutes as y, precip_mm as x, is_wet
@@ -262,13 +281,7 @@ judged as (select *, case when n < 60 then cast(n as varchar) || ' route-hours'
   when wet < 8 then cast(wet as varchar) || ' wet hours'
   when kinds < 2 then 'no variation in rainfall'
   when slope is null then 'no variation within hours' end as why from support left join fits using (route_id))
-select route_id, case when why is null then 'fitted' else 'insufficient' end as status, why,
-  case when why is null then round(slope, 6) + 0.0 end as minutes_per_mm,
-  case when why is null then round(se, 6) end as std_error,
-  case when why is null then round(slope - 1.959963984540054 * se, 6) + 0.0 end as ci_low,
-  case when why is null then round(slope + 1.959963984540054 * se, 6) + 0.0 end as ci_high, n,
-  case when why is null then wet end as wet_hours, case when why is null then round(r2, 6) end as r_squared,
-  case when why is null then abs(slope) <= 1.959963984540054 * se end as straddles_zero
+select route_id, {columns}
 from judged""", "wx")
 
 
@@ -427,6 +440,7 @@ select epoch, later, epoch as round_trip, later - epoch as seconds, epoch - 1080
     round(sum(precip_mm), 9) as total_mm from wx""", "wx"),
         "rain_effect": _rain(1),
         "rain_effect_min3": _rain(3),
+        "rain_p_values": _rain(1, _P_VALUE),
         "dq_unique": _lines([
             _unique("stg_stop_time_updates", "feed_id", "observed_at", "trip_id", "stop_id"),
             _unique("int_last_sightings", "service_date_raw", "trip_id", "stop_id"),
@@ -506,6 +520,10 @@ select * from incoming union all select * from held where not exists (select 1 f
         "incremental_excess_wait": fe,
         "incremental_diff": _EQUAL,
         "stream_last_sightings": ls,
+        "stream_backlog_in_batches": ls,
+        "repeated_batch": ls,
+        "late_feed_sightings": ls,
+        "too_late_observations": _sql(f"select * from stg where observed_at < {S1} or observed_at >= {S2}", "stg"),
         "warehouse_diff": _sql(" union all ".join([
             _one_sided("int_inferred_arrivals", "ia", "ia240"), _one_sided("fct_arrivals", "fa", "fa240"),
             _one_sided("fct_headways", "fh", "fh240"),
@@ -555,6 +573,8 @@ group by 1, 2, 3""", "landing"),
         "history_range": _sql(f"""select {_LANDING}, {_DATE} as observed_date from landing
   where {_DATE} between strftime(make_timestamp({S1}000000), '%Y-%m-%d')
     and strftime(make_timestamp({S2}000000), '%Y-%m-%d')""", "landing"),
+        "history_one_day": _sql(f"""select {_LANDING}, {_DATE} as observed_date from landing
+  where {_DATE} = strftime(make_timestamp({S2}000000), '%Y-%m-%d')""", "landing"),
         "reference_csv": _sql("""select route_id, route_short_name, route_long_name, route_desc,
   coalesce(route_color, '') as route_color from routes""", "routes"),
         "reference_stops": _sql("""select stop_id, stop_name, cast(lat as varchar) as stop_lat,

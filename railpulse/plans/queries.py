@@ -302,6 +302,48 @@ def stream_last_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Warehouse(spark, f"{root}/warehouse").sightings()
 
 
+def stream_backlog_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month of landing files, the newest days written first, taken in over several micro-batches."""
+    prepare(spark)
+    root = scratch_path(spark, "backlog")
+    rows = samples.landing(spark, sf_dir)
+    for number in (2, 0, 1):
+        landing.write_landing(_sitting(rows, number), f"{root}/landing")
+    follow_landing(
+        spark, f"{root}/landing", f"{root}/warehouse", f"{root}/checkpoint", max_files=300, marts=False
+    ).awaitTermination()
+    return Warehouse(spark, f"{root}/warehouse").sightings()
+
+
+def repeated_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream's last batch, absorbed again after its commit was lost."""
+    warehouse = _in_three_sittings(spark, sf_dir)
+    last = _sitting(samples.landing(spark, sf_dir), 2)
+    warehouse.update_sightings(warehouse.update_observations(last, any_age=True))
+    return warehouse.sightings()
+
+
+def too_late_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is held when the middle sitting lands after the last one: older than the lookback, it is not taken in."""
+    rows = samples.landing(spark, sf_dir)
+    middle = F.col("observed_at").between(_SITTINGS[0], _SITTINGS[1] - 1)
+    warehouse = Warehouse(spark, scratch_path(spark, "late"))
+    warehouse.update_observations(rows.where(~middle))
+    warehouse.update_observations(rows)
+    return warehouse.staged()
+
+
+def late_feed_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed delivered days late; a cutoff of its own for each feed loses none of it."""
+    rows = samples.landing(spark, sf_dir)
+    late = (F.col("feed_id") == "click") & (F.col("observed_at") >= _SITTINGS[0])
+    warehouse = Warehouse(spark, scratch_path(spark, "late-feed"))
+    for seen in (rows.where(~late), rows):
+        warehouse.update_observations(seen, per_feed=True)
+        warehouse.update_sightings()
+    return warehouse.sightings()
+
+
 # -- snapshots, traces -------------------------------------------------------------
 
 def suppress_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,6 +402,14 @@ def history_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.read_history(spark, path, _day(_SITTINGS[0]), _day(_SITTINGS[1]))
 
 
+def history_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day out of all landing rows, loaded and read back."""
+    path = scratch_path(spark, "history")
+    day = _day(_SITTINGS[1])
+    history.replace_days(samples.landing(spark, sf_dir), path, day)
+    return history.read_history(spark, path, first=_day(0))
+
+
 def load_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "landing")
     landing.write_landing(samples.landing(spark, sf_dir), root)
@@ -459,7 +509,12 @@ QUERIES: dict[str, Query] = {
     "landed_since": landed_since,
     "day_replace": day_replace,
     "history_range": history_range,
+    "history_one_day": history_one_day,
     "load_plan": load_plan,
+    "stream_backlog_in_batches": stream_backlog_in_batches,
+    "repeated_batch": repeated_batch,
+    "too_late_observations": too_late_observations,
+    "late_feed_sightings": late_feed_sightings,
     "reference_csv": reference_csv,
     "reference_stops": reference_stops,
 }

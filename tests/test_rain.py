@@ -7,6 +7,9 @@ from datetime import datetime, timedelta
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from railpulse.functions.normal import error_function_complement, two_sided_p
 from railpulse.operators.rain import Z95, rain_effect, with_p_values
 
 START = datetime(2026, 3, 1)
@@ -77,3 +80,11 @@ def test_thin_hours_are_left_out(spark):
     waits, weather = history()
     thin = [(*w[:3], 2, w[4]) for w in waits]
     assert rain_effect(*frames(spark, thin, weather)).isEmpty()
+
+
+def test_the_normal_tail(spark):
+    xs = [0.0, 1e-9, 0.3, 1.0, 2.4999, 2.5, 2.5001, 4.0, 9.0, 26.0, 40.0]
+    found = spark.createDataFrame([(x,) for x in xs], "x double").select(error_function_complement(F.col("x"))).collect()
+    for x, (value,) in zip(xs, found):
+        assert value == pytest.approx(math.erfc(x), rel=1e-9, abs=1e-300)
+    assert spark.range(1).select(two_sided_p(F.lit(None).cast("double"))).first()[0] is None

@@ -47,6 +47,30 @@ def test_only_consecutive_repeats_are_dropped(spark):
         ("ace", 0.0), ("ace", 20.0), ("ace", 30.0), ("ace", day + 5.0), ("g", 5.0)]
 
 
+def test_rows_of_one_fetch_and_header_leave_one(spark):
+    rows = [message(BASE, BASE + 1, [trip_entity(str(n % 2), "t", [stop("1N", BASE)])]) for n in range(6)]
+    rows += [message(BASE + 30, BASE + 31), message(BASE + 30, BASE + 31, feed=None)]
+    found = snapshots.suppress_repeats(spark.createDataFrame(rows, SNAPSHOT_SCHEMA))
+    kept = found.collect()
+    assert sorted((r.feed_id or "", r.fetched_at - BASE) for r in kept) == [("", 31.0), ("ace", 1.0), ("ace", 31.0)]
+    assert found.columns == SNAPSHOT_SCHEMA.fieldNames()
+
+
+def test_messages_are_read_once_and_not_sorted(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "snapshots")
+    spark.createDataFrame([message(BASE + n, BASE + n) for n in range(20)], SNAPSHOT_SCHEMA).write.parquet(path)
+    stored = spark.read.schema(SNAPSHOT_SCHEMA).parquet(path)
+    plan = snapshots.changed_headers(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "entity" not in plan
+    for many in (False, True):
+        if many:
+            monkeypatch.setattr(snapshots, "measured", lambda df: None)
+        plan = snapshots.suppress_repeats(stored)._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.splitlines() if "FileScan" in line and "entity" in line.split("ReadSchema")[1]]
+        assert len(scans) == 1
+        assert not [line for line in plan.splitlines() if "Sort [" in line and "entity" in line]
+
+
 def test_profile_shows_the_first_of_the_longest_trips(spark):
     rows = [message(BASE, BASE + 4.2, [
         trip_entity("1", "000100_A", [stop("1N", BASE)]),
