@@ -26,31 +26,43 @@ def platform_counts(stops: DataFrame) -> DataFrame:
     )
 
 
-def observed_stations(staged: DataFrame) -> DataFrame:
-    """Rows and distinct routes per station, exactly.
-
-    Counted per station and route first. That is one hash aggregation over the
-    observations and leaves a handful of rows per station to count.
-    """
-    per_route = (
+def station_parts(staged: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Rows per station and route: a handful for each station (and day, if that is in ``by``)."""
+    return (
         staged.where(F.col("station_id").isNotNull())
-        .groupBy("station_id", "route_id")
+        .groupBy(*by, "station_id", "route_id")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
+
+
+def _count_stations(per_route: DataFrame) -> DataFrame:
     return per_route.groupBy("station_id").agg(
         F.sum("rows").alias("observations"),
         F.count("route_id").alias("routes_observed"),
     )
 
 
+def observed_stations(staged: DataFrame) -> DataFrame:
+    """Rows and distinct routes per station, exactly: one hash aggregation over the observations."""
+    return _count_stations(station_parts(staged))
+
+
+def fold_stations(parts: DataFrame) -> DataFrame:
+    """``observed_stations`` from the parts of all days."""
+    return _count_stations(parts.groupBy("station_id", "route_id").agg(F.sum("rows").alias("rows")))
+
+
 def dim_stations(stops: DataFrame, staged: DataFrame) -> DataFrame:
+    return described_stations(stops, observed_stations(staged))
+
+
+def described_stations(stops: DataFrame, observed: DataFrame) -> DataFrame:
     """Every published station and every station the feed referred to.
 
     One that is not published gets no name and no position. Joins run at
     station grain; Spark picks their strategy by measured size.
     """
     published = published_stations(stops).withColumn("is_published", F.lit(True))
-    observed = observed_stations(staged)
     unpublished = observed.join(published, "station_id", "left_anti").select(
         "station_id",
         F.lit(None).cast("string").alias("station_name"),
@@ -71,19 +83,16 @@ def dim_stations(stops: DataFrame, staged: DataFrame) -> DataFrame:
     )
 
 
-def observed_routes(staged: DataFrame) -> DataFrame:
-    """Per route: feed, distinct trips, first and last observation.
-
-    Trips are counted exactly: the observations are first folded to one row per
-    route, feed and trip. None of this changes when an observation is there
-    twice, so staged rows with copies in them give the same answer.
-    """
-    trips = (
-        staged.where(F.col("route_id").isNotNull())
-        .groupBy("route_id", "feed_id", "trip_id")
-        .agg(F.min("observed_at").alias("first"), F.max("observed_at").alias("last"))
+def trip_parts(staged: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """First and last observation of every trip of a route and feed (on a day, if that is in ``by``)."""
+    return staged.groupBy(*by, "route_id", "feed_id", "trip_id").agg(
+        F.min("observed_at").alias("first"), F.max("observed_at").alias("last")
     )
-    per_trip = trips.groupBy("route_id", "trip_id").agg(
+
+
+def fold_routes(parts: DataFrame) -> DataFrame:
+    """Per route: feed, distinct trips, first and last observation, from parts of any cut."""
+    per_trip = parts.where(F.col("route_id").isNotNull()).groupBy("route_id", "trip_id").agg(
         F.min("feed_id").alias("feed_id"), F.min("first").alias("first"), F.max("last").alias("last")
     )
     return per_trip.groupBy("route_id").agg(
@@ -94,9 +103,22 @@ def observed_routes(staged: DataFrame) -> DataFrame:
     )
 
 
+def observed_routes(staged: DataFrame) -> DataFrame:
+    """``fold_routes`` of all observations; trips are counted exactly.
+
+    None of this changes when an observation is there twice, so staged rows
+    with copies in them give the same answer.
+    """
+    return fold_routes(trip_parts(staged))
+
+
 def dim_routes(routes: DataFrame, staged: DataFrame) -> DataFrame:
+    return described_routes(routes, observed_routes(staged))
+
+
+def described_routes(routes: DataFrame, observed: DataFrame) -> DataFrame:
     """Published routes only, with what was observed of each."""
-    return routes.join(observed_routes(staged), "route_id", "left").select(
+    return routes.join(observed, "route_id", "left").select(
         "route_id",
         "route_short_name",
         "route_long_name",

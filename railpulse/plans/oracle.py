@@ -522,6 +522,9 @@ select * from incoming union all select * from held where not exists (select 1 f
         "stream_last_sightings": ls,
         "stream_backlog_in_batches": ls,
         "repeated_batch": ls,
+        "incremental_dim_stations": _sql("select * from ds", "ds"),
+        "incremental_dim_routes": _sql("select * from dr", "dr"),
+        "stream_dimensions": _sql("select * from ds", "ds"),
         "late_feed_sightings": ls,
         "too_late_observations": _sql(f"select * from stg where observed_at < {S1} or observed_at >= {S2}", "stg"),
         "warehouse_diff": _sql(" union all ".join([

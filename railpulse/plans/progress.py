@@ -167,15 +167,17 @@ class Progress:
         )
         self._write(feeds.withColumn("changed_since", F.col("left_over")))
 
-    def recover(self, staged: DataFrame) -> None:
-        """Take up after a run that stopped while it wrote observations."""
+    def unfinished(self) -> tuple[date, date] | None:
+        """The days a run was writing when it stopped; None if the last one got through."""
         first, last = self._note
-        if first is not None:
-            concerned = staged.where(F.col("observed_date").between(F.lit(first), F.lit(last)))
-            self.staged(concerned)
-            # What that run changed is known by its days alone.
-            left = self.feeds().withColumn("left_over", F.least("left_over", "changed_since"))
-            self._write(left)
+        return None if first is None else (first, last)
+
+    def recover(self, concerned: DataFrame) -> None:
+        """Take up after a run that stopped while it wrote the observations of these days."""
+        self.staged(concerned)
+        # What that run changed is known by its days alone.
+        left = self.feeds().withColumn("left_over", F.least("left_over", "changed_since"))
+        self._write(left)
 
     # -- what an update of the sightings has to read ------------------------
 

@@ -253,6 +253,33 @@ def incremental_excess_wait(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_three_sittings(spark, sf_dir, marts=True).fact("fct_excess_wait")
 
 
+def _incremental_dimension(name: str) -> Query:
+    """A dimension folded from the parts of each day, after three sittings that were given the lists at the first."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        warehouse = Warehouse(spark, scratch_path(spark, "dimensions"))
+        warehouse.keep_lists(samples.stops(spark, sf_dir), samples.routes(spark, sf_dir))
+        rows = samples.landing(spark, sf_dir)
+        for seen in (_sitting(rows, 0), rows.where(F.col("observed_at") < _SITTINGS[1]), rows):
+            warehouse.update_observations(seen)
+        warehouse.build_dimensions()
+        return warehouse.dimension(name)
+
+    return build
+
+
+def stream_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations as a stream keeps them, the lists given once."""
+    prepare(spark)
+    root = scratch_path(spark, "stream-dimensions")
+    landing.write_landing(samples.landing(spark, sf_dir), f"{root}/landing")
+    follow_landing(
+        spark, f"{root}/landing", f"{root}/warehouse", f"{root}/checkpoint", max_files=400,
+        stops=samples.stops(spark, sf_dir), routes=samples.routes(spark, sf_dir),
+    ).awaitTermination()
+    return Warehouse(spark, f"{root}/warehouse").dimension("dim_stations")
+
+
 def touched_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the second sitting would look at again."""
     rows = samples.landing(spark, sf_dir)
@@ -513,6 +540,9 @@ QUERIES: dict[str, Query] = {
     "load_plan": load_plan,
     "stream_backlog_in_batches": stream_backlog_in_batches,
     "repeated_batch": repeated_batch,
+    "incremental_dim_stations": _incremental_dimension("dim_stations"),
+    "incremental_dim_routes": _incremental_dimension("dim_routes"),
+    "stream_dimensions": stream_dimensions,
     "too_late_observations": too_late_observations,
     "late_feed_sightings": late_feed_sightings,
     "reference_csv": reference_csv,

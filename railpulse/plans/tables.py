@@ -11,14 +11,14 @@ class SchemaDrift(ValueError):
     """New rows do not have the columns of the table they are for."""
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame | None:
     """A stored table, or None before the first write.
 
     The schema is given: a partition column full of digits would otherwise come
-    back as numbers.
+    back as numbers. Tables without partitions may do without.
     """
     try:
-        return spark.read.schema(schema).parquet(path)
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" in (missing.getCondition() or ""):
             return None

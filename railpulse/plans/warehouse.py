@@ -21,7 +21,7 @@ from railpulse.functions import clock
 from railpulse.operators import arrivals as arrival_ops
 from railpulse.operators import headways as headway_ops
 from railpulse.operators import sightings as sighting_ops
-from railpulse.operators.dimensions import dim_routes, dim_stations
+from railpulse.operators import dimensions as dimension_ops
 from railpulse.operators.keyed import BROADCAST_ROWS, join_lookup, upsert
 from railpulse.operators.sightings import PAIR
 from railpulse.operators.staging import NATURAL_KEY, preference_key, stage
@@ -38,6 +38,16 @@ STORED_STAGED = T.StructType(STAGED_SCHEMA.fields + [T.StructField("observed_dat
 STORED_SIGHTINGS = T.StructType(
     SIGHTINGS_SCHEMA.fields + [T.StructField("first_seen_at", T.TimestampType())]
 )
+# What the dimensions need of the observations of each day.
+PARTS = {
+    "dim_station_parts": (
+        dimension_ops.station_parts, "station_id string, route_id string, rows long, observed_date date",
+    ),
+    "dim_trip_parts": (
+        dimension_ops.trip_parts,
+        "route_id string, feed_id string, trip_id string, first timestamp, last timestamp, observed_date date",
+    ),
+}
 FACTS = {
     "fct_arrivals": ARRIVALS_SCHEMA,
     "fct_headways": HEADWAYS_SCHEMA,
@@ -84,10 +94,12 @@ class Warehouse:
         """How far each feed has come, after anything a stopped run has left was taken up."""
         staged = self._existing(self._stored_staged())
         progress = Progress(self.spark, self.root)
-        if progress.exists():
-            progress.recover(staged)
-        else:
+        if not progress.exists():
             progress.reset(staged, self._stored_sightings())
+        elif progress.unfinished() is not None:
+            concerned = staged.where(F.col("observed_date").between(*map(F.lit, progress.unfinished())))
+            self._refresh_parts(concerned)
+            progress.recover(concerned)
         return progress
 
     def _stored_staged(self) -> DataFrame | None:
@@ -120,7 +132,8 @@ class Warehouse:
             **{name: self.fact(name) for name in FACTS},
         }
         if dimensions:
-            found |= {name: self.dimension(name) for name in ("dim_stations", "dim_routes")}
+            held = {n: t.read_table(self.spark, self._path(n), None) for n in ("dim_stations", "dim_routes")}
+            found |= {name: df for name, df in held.items() if df is not None}
         return found
 
     def register_views(self) -> None:
@@ -142,6 +155,7 @@ class Warehouse:
         if progress.exists():
             progress.begin_all()
         t.overwrite(_dated(rows), self._path("stg_stop_time_updates"), "observed_date")
+        self._refresh_parts(self._stored_staged(), all_days=True)
         progress.reset(self._stored_staged(), None)
 
     def rebuild_sightings(self) -> None:
@@ -159,7 +173,7 @@ class Warehouse:
         self.build_marts(stops, routes)
 
     def build_marts(self, stops: DataFrame | None = None, routes: DataFrame | None = None) -> None:
-        """Facts from the sightings; dimensions if their lists are given.
+        """Facts from the sightings, and dimensions from the newest lists given, now or before.
 
         Each fact is read back before the next is derived, so no step repeats
         the one before it.
@@ -169,10 +183,39 @@ class Warehouse:
         self._write_fact("fct_arrivals", arrived)
         self._write_fact("fct_headways", headway_ops.headways(self.fact("fct_arrivals"), params))
         self._write_fact("fct_excess_wait", headway_ops.excess_wait(self.fact("fct_headways")))
+        self.keep_lists(stops, routes)
+        self.build_dimensions()
+
+    def keep_lists(self, stops: DataFrame | None = None, routes: DataFrame | None = None) -> None:
+        """Store the published lists that the dimensions are built with from now on."""
+        for name, given in (("ref_stops", stops), ("ref_routes", routes)):
+            if given is not None:
+                t.overwrite(given, self._path(name))
+
+    def build_dimensions(self) -> None:
+        """Dimensions from the stored lists and the parts of each day; no observation is read."""
+        stops, routes = (t.read_table(self.spark, self._path(n), None) for n in ("ref_stops", "ref_routes"))
         if stops is not None:
-            t.overwrite(dim_stations(stops, self.staged()), self._path("dim_stations"))
+            observed = dimension_ops.fold_stations(self._parts("dim_station_parts"))
+            t.overwrite(dimension_ops.described_stations(stops, observed), self._path("dim_stations"))
         if routes is not None:
-            t.overwrite(dim_routes(routes, self.staged()), self._path("dim_routes"))
+            observed = dimension_ops.fold_routes(self._parts("dim_trip_parts"))
+            t.overwrite(dimension_ops.described_routes(routes, observed), self._path("dim_routes"))
+
+    def _parts(self, name: str) -> DataFrame:
+        schema = T.StructType.fromDDL(PARTS[name][1])
+        held = t.read_table(self.spark, self._path(name), schema)
+        if held is None:
+            # A warehouse of before there were parts.
+            self._refresh_parts(self._existing(self._stored_staged()), all_days=True)
+            held = t.read_table(self.spark, self._path(name), schema)
+        return held
+
+    def _refresh_parts(self, staged: DataFrame, all_days: bool = False) -> None:
+        """Fold whole days anew: what a day held before is replaced, so nothing has to be taken back."""
+        for name, (fold, _) in PARTS.items():
+            write = t.overwrite if all_days else t.replace_partitions
+            write(fold(staged, ("observed_date",)), self._path(name), "observed_date")
 
     def _write_fact(self, name: str, df: DataFrame) -> None:
         t.overwrite(t.require_schema(df, FACTS[name], name), self._path(name))
@@ -254,6 +297,10 @@ class Warehouse:
             return fresh
         progress.begin(changes, first_day, last_day)
         self._write_changes(changes, held)
+        days = few(changes.select("observed_date").distinct(), LITERAL_DAYS)
+        within = F.col("observed_date").between(F.lit(first_day), F.lit(last_day))
+        written = self._stored_staged().where(within if days is None else among("observed_date", days))
+        self._refresh_parts(written)
         progress.staged(changes)
         return fresh
 

@@ -29,13 +29,18 @@ def follow_landing(
     max_files: int | None = None,
     every: str | None = None,
     marts: bool = True,
+    stops: DataFrame | None = None,
+    routes: DataFrame | None = None,
 ) -> StreamingQuery:
     """Keep a warehouse up to date with files as they land.
 
     With ``every`` (say "30 seconds") it runs on; without, it takes what is
     there in batches of ``max_files`` and stops. Neither the size of the batches
     nor the order of the files changes what the warehouse holds in the end.
+    With ``marts`` every batch brings the facts up to date, and the dimensions
+    if the published lists are given here or were given to the warehouse before.
     """
+    Warehouse(spark, warehouse_root, params).keep_lists(stops, routes)
 
     def absorb(batch: DataFrame, _batch_id: int) -> None:
         warehouse = Warehouse(batch.sparkSession, warehouse_root, params)

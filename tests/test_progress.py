@@ -112,6 +112,40 @@ def test_the_cutoff_of_each_feed(spark, tmp_path):
     assert trips(by_feed) == {"f", "s", "s2", "n"}
 
 
+STOPS = "stop_id string, stop_name string, stop_lat string, stop_lon string, location_type string, parent_station string"
+ROUTES = ("route_id string, route_short_name string, route_long_name string, route_desc string, "
+          "route_color string, route_text_color string")
+
+
+def test_dimensions_follow_without_the_lists_and_without_the_history(spark, tmp_path):
+    stops = spark.createDataFrame([("K01", "Kay", "1", "2", "1", ""), ("K09", "Nine", "1", "2", "1", "")], STOPS)
+    routes = spark.createDataFrame([("Q", "Q", "Quick", "", "", ""), ("Z", "Z", "None", "", "", "")], ROUTES)
+    history = [seen("a", f"t{d}", d * DAY) for d in range(6)]
+    # A row of the newest day is replaced by an earlier fetch that says another route.
+    new = [
+        row("t5", "K01S", BASE + 5 * DAY + 20, BASE + 5 * DAY, route="Z", feed_id="a", fetched_at=BASE + 5 * DAY + 1),
+        row("n", "M07N", BASE + 5 * DAY + 90, BASE + 5 * DAY + 50, feed_id="a"),
+    ]
+    warehouse = Warehouse(spark, str(tmp_path / "parts"), AN_HOUR)
+    warehouse.rebuild(frame(spark, history), stops, routes)
+    spoil(warehouse, days_of(spark, 5 * DAY))
+    warehouse.update(frame(spark, new))
+    whole = Warehouse(spark, str(tmp_path / "whole"), AN_HOUR)
+    whole.rebuild(frame(spark, history + new), stops, routes)
+    for name in ("dim_stations", "dim_routes"):
+        assert sorted(warehouse.dimension(name).collect(), key=str) == sorted(whole.dimension(name).collect(), key=str)
+    assert {r.route_id: r.trips_observed for r in warehouse.dimension("dim_routes").collect()} == {"Q": 6, "Z": 1}
+    warehouse.register_views()
+    assert spark.sql("select count(*) from dim_stations").first()[0] == 3
+
+
+def test_views_without_lists(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path), AN_HOUR)
+    warehouse.rebuild(frame(spark, [seen("a", "t", 0)]))
+    warehouse.register_views()
+    assert "dim_stations" not in warehouse.tables()
+
+
 def test_nothing_intermediate_is_left(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path), AN_HOUR)
     warehouse.update(frame(spark, [seen("a", "t", 0)]))
