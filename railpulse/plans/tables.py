@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 
@@ -11,7 +13,7 @@ class SchemaDrift(ValueError):
     """New rows do not have the columns of the table they are for."""
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame | None:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None) -> DataFrame | None:
     """A stored table, or None before the first write.
 
     The schema is given: a partition column full of digits would otherwise come
@@ -60,6 +62,23 @@ def replace_partitions(df: DataFrame, path: str, by: str) -> None:
     )
 
 
+def replace_all(df: DataFrame, held: DataFrame, path: str, by: str) -> None:
+    """Replace the partitions of ``held``, stored rows at ``path``, by ``df``; those without a new row go.
+
+    ``df`` is stored elsewhere. Folders are told from the files of ``held``. Their
+    list, one entry for a date that lost all its rows, passes through the driver.
+    """
+    new = df.select(F.col(by).alias("new")).distinct()
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    emptied = (
+        held.select(by, folder.alias("folder")).distinct().join(new, F.col(by).eqNullSafe(F.col("new")), "left_anti")
+    )
+    gone = [unquote(r["folder"]) for r in emptied.select("folder").toLocalIterator()]
+    replace_partitions(df, path, by)
+    for found in gone:
+        remove(df.sparkSession, found)
+
+
 def append(df: DataFrame, path: str, by: str) -> None:
     df.hint("rebalance", by).write.mode("append").partitionBy(by).parquet(path)
 

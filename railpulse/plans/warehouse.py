@@ -1,8 +1,9 @@
 """The warehouse: full builds, incremental updates, and the tables to query.
 
-Two tables are kept up to date, staged observations and last sightings; the
-marts are read off the second, which has one row for about 170 of the first,
-and are rebuilt in full.
+Two tables are kept up to date, staged observations and last sightings, and the
+facts follow the second: all of them are stored by service date, no headway
+crosses one, and a run writes anew the dates whose sightings it has replaced
+(``stale``). All dates are written when the thresholds have changed.
 
 An incremental run leaves the tables a rebuild would. It writes observations
 first and sightings second, and notes in the progress table (``progress``) what
@@ -26,7 +27,7 @@ from railpulse.operators.keyed import BROADCAST_ROWS, join_lookup, upsert
 from railpulse.operators.sightings import PAIR
 from railpulse.operators.staging import NATURAL_KEY, preference_key, stage
 from railpulse.params import DEFAULTS, Params
-from railpulse.plans import tables as t
+from railpulse.plans import stale, tables as t
 from railpulse.plans.progress import LITERAL_DAYS, LITERAL_FEEDS, Progress, among, few
 from railpulse.schema import (
     ARRIVALS_SCHEMA, EXCESS_WAIT_SCHEMA, HEADWAYS_SCHEMA, SIGHTINGS_SCHEMA, STAGED_SCHEMA,
@@ -119,7 +120,10 @@ class Warehouse:
         return arrival_ops.infer_arrivals(self.sightings(), self.params)
 
     def fact(self, name: str) -> DataFrame:
-        return self._existing(t.read_table(self.spark, self._path(name), FACTS[name]))
+        return self._existing(self._stored_fact(name)).select(*FACTS[name].fieldNames())
+
+    def _stored_fact(self, name: str) -> DataFrame | None:
+        return t.read_table(self.spark, self._path(name), FACTS[name])
 
     def dimension(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._path(name))
@@ -160,6 +164,7 @@ class Warehouse:
 
     def rebuild_sightings(self) -> None:
         staged, progress = self._existing(self._stored_staged()), self.progress()
+        stale.all_dates(self.spark, self.root)
         found = sighting_ops.describe(
             sighting_ops.latest_by_pair(staged), progress.watermark(), keep=("first_seen_at",),
         )
@@ -173,18 +178,53 @@ class Warehouse:
         self.build_marts(stops, routes)
 
     def build_marts(self, stops: DataFrame | None = None, routes: DataFrame | None = None) -> None:
-        """Facts from the sightings, and dimensions from the newest lists given, now or before.
+        """Facts from the sightings, and dimensions from the newest lists given, now or before."""
+        self.build_facts()
+        self.keep_lists(stops, routes)
+        self.build_dimensions()
 
-        Each fact is read back before the next is derived, so no step repeats
-        the one before it.
+    def build_facts(self) -> None:
+        """Bring the facts up to date with the sightings and the thresholds.
+
+        Only the service dates whose sightings were replaced since the facts were
+        last written are derived anew; the files of all others stay as they are.
         """
+        if not stale.built_with(self.spark, self.root, self.params):
+            self._build_all_facts()
+            return
+        noted = stale.noted(self.spark, self.root)
+        if noted is not None:
+            self._build_facts_of(noted.dates)
+            noted.clear()
+
+    def _build_all_facts(self) -> None:
+        """Each fact is read back before the next is derived, so no step repeats the one before it."""
         params = self.params
+        stale.all_dates(self.spark, self.root)
+        # Notes of before are covered by what is read now.
+        noted = stale.noted(self.spark, self.root)
         arrived = arrival_ops.fct_arrivals(self.inferred_arrivals(), params)
         self._write_fact("fct_arrivals", arrived)
         self._write_fact("fct_headways", headway_ops.headways(self.fact("fct_arrivals"), params))
         self._write_fact("fct_excess_wait", headway_ops.excess_wait(self.fact("fct_headways")))
-        self.keep_lists(stops, routes)
-        self.build_dimensions()
+        if noted is not None:
+            noted.clear()
+        stale.note_built(self.spark, self.root, params)
+
+    def _build_facts_of(self, dates: DataFrame) -> None:
+        """The same for some service dates, each fact derived from the new rows of the one before."""
+        params = self.params
+        sighted = _of_service_dates(self._existing(self._stored_sightings()), dates)
+        rows = arrival_ops.fct_arrivals(arrival_ops.infer_arrivals(sighted, params), params)
+        for name, follow in (
+            ("fct_arrivals", lambda arrived: headway_ops.headways(arrived, params)),
+            ("fct_headways", headway_ops.excess_wait),
+            ("fct_excess_wait", None),
+        ):
+            written = t.write_and_read(t.require_schema(rows, FACTS[name], name), self._work(name))
+            held = _of_service_dates(self._existing(self._stored_fact(name)), dates)
+            t.replace_all(written, held, self._path(name), "service_date_raw")
+            rows = written if follow is None else follow(written)
 
     def keep_lists(self, stops: DataFrame | None = None, routes: DataFrame | None = None) -> None:
         """Store the published lists that the dimensions are built with from now on."""
@@ -218,7 +258,7 @@ class Warehouse:
             write(fold(staged, ("observed_date",)), self._path(name), "observed_date")
 
     def _write_fact(self, name: str, df: DataFrame) -> None:
-        t.overwrite(t.require_schema(df, FACTS[name], name), self._path(name))
+        t.overwrite(t.require_schema(df, FACTS[name], name), self._path(name), "service_date_raw")
 
     # -- incremental update --------------------------------------------------
 
@@ -367,6 +407,8 @@ class Warehouse:
             self._work("recomputed"),
         )
         concerned = _of_service_dates(held, recomputed)
+        # Noted first: if this run stops here, the facts are written again by the next.
+        stale.note(self.root, recomputed)
         t.replace_partitions(
             upsert(
                 concerned.select(*STORED_SIGHTINGS.fieldNames()),
