@@ -57,9 +57,24 @@ def placed_in_time(snapshots: DataFrame) -> DataFrame:
     return snapshots.where(F.col("header.timestamp") > 0)
 
 
-def changed_headers(snapshots: DataFrame) -> DataFrame:
+def last_headers(snapshots: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Fetch and header of the newest snapshot of every feed, of ``snapshots`` and those of ``before``.
+
+    What a later batch has to know of all batches before it, a row for each feed.
+    """
+    seen = placed_in_time(snapshots).select("feed_id", "fetched_at", F.col("header.timestamp").alias("_header"))
+    if before is not None:
+        seen = seen.unionByName(before)
+    newest = seen.groupBy("feed_id").agg(F.max(F.struct("fetched_at", "_header")).alias("last"))
+    return newest.select("feed_id", "last.*")
+
+
+def changed_headers(snapshots: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Feed, fetch and header of the snapshots to keep, and how many rows have all three.
 
+    ``before`` are the ``last_headers`` of earlier batches: the first snapshot of
+    a feed is compared with its row there.
+
     Three columns of the snapshots are read, shuffled and put in order; what
     the messages hold is not. Headers are compared day by day, with each
     day's last one carried to the next, so a feed with a long history is spread
@@ -70,21 +85,25 @@ def changed_headers(snapshots: DataFrame) -> DataFrame:
         .groupBy("feed_id", "fetched_at", F.col("header.timestamp").alias("_header"))
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
+    if before is not None:
+        # No copy of these is in the batch; a row that is delivered again comes after its own.
+        headers = headers.unionByName(before.withColumn("_copies", F.lit(0).cast("long")))
+    order = ["fetched_at", "_header", "_copies"]
     compared = lag_across_slices(
-        headers, ["feed_id"], F.floor(F.col("fetched_at") / _DAY), ["fetched_at", "_header"], "_header", "_before"
+        headers, ["feed_id"], F.floor(F.col("fetched_at") / _DAY), order, "_header", "_before"
     )
     changed = F.col("_before").isNull() | (F.col("_before") != F.col("_header"))
-    return compared.where(changed).drop("_before")
+    return compared.where(changed & (F.col("_copies") > 0)).drop("_before")
 
 
-def suppress_repeats(snapshots: DataFrame) -> DataFrame:
+def suppress_repeats(snapshots: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Drop a snapshot whose header is that of the one fetched before it.
 
     Only consecutive repeats of a feed go; A, B, A keeps all three. Which rows
     stay is found from their headers; the messages are then read once, and
     not sorted. Of rows with the same fetch and header one stays.
     """
-    kept = changed_headers(snapshots)
+    kept = changed_headers(snapshots, before)
     small = measured(kept)
     kept = kept if small is None else small
     wanted = (kept.hint("shuffle_hash") if small is None else F.broadcast(kept)).alias("kept")
@@ -99,9 +118,9 @@ def suppress_repeats(snapshots: DataFrame) -> DataFrame:
     return found.drop("_header", "_copies")
 
 
-def to_landing(snapshots: DataFrame) -> DataFrame:
+def to_landing(snapshots: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """What a collector writes: placed, changed, flattened."""
-    return flatten(suppress_repeats(snapshots))
+    return flatten(suppress_repeats(snapshots, before))
 
 
 def snapshot_profile(snapshots: DataFrame, params: Params = DEFAULTS, next_stops: int = 5) -> DataFrame:

@@ -526,6 +526,11 @@ select * from incoming union all select * from held where not exists (select 1 f
         "incremental_dim_routes": _sql("select * from dr", "dr"),
         "stream_dimensions": _sql("select * from ds", "ds"),
         "late_feed_sightings": ls,
+        "stream_snapshots": _sql(_flat("kept"), "kept"),
+        "incremental_fact_dates": _sql(" union all ".join(
+            f"select '{name}' as table_name, service_date_raw, count(*) as row_count from {fact} group by 2"
+            for name, fact in (("fct_arrivals", "fa"), ("fct_headways", "fh"), ("fct_excess_wait", "fe"))
+        ), "fe"),
         "too_late_observations": _sql(f"select * from stg where observed_at < {S1} or observed_at >= {S2}", "stg"),
         "warehouse_diff": _sql(" union all ".join([
             _one_sided("int_inferred_arrivals", "ia", "ia240"), _one_sided("fct_arrivals", "fa", "fa240"),

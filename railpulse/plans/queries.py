@@ -21,10 +21,11 @@ from railpulse.operators.keyed import upsert
 from railpulse.operators.staging import NATURAL_KEY, shape, stage
 from railpulse.params import Params
 from railpulse.plans import tables as stored
-from railpulse.plans.warehouse import Warehouse, facts
+from railpulse.plans.warehouse import FACTS, Warehouse, facts
 from railpulse.schema import LANDING_COLUMNS, LANDING_SCHEMA, ROUTE_COLUMNS, STOP_COLUMNS
 from railpulse.session import prepare, scratch_path
 from railpulse.sources import history, landing, reference_files, samples
+from railpulse.streaming.collect import follow_snapshots
 from railpulse.streaming.ingest import follow_landing, stale_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -350,6 +351,37 @@ def repeated_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.sightings()
 
 
+def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing rows of nested snapshots that arrive in three portions, the stream started again for each."""
+    prepare(spark)
+    root = scratch_path(spark, "collector")
+    messages = samples.snapshots(spark, sf_dir)
+    fetched = F.col("fetched_at")
+    for part in (
+        fetched < _SITTINGS[0], fetched.between(_SITTINGS[0], _SITTINGS[1]), fetched > _SITTINGS[1],
+    ):
+        messages.where(part).write.mode("append").json(f"{root}/messages")
+        follow_snapshots(spark, f"{root}/messages", f"{root}/landing", f"{root}/checkpoint").awaitTermination()
+    return landing.read_landing(spark, f"{root}/landing").select(*LANDING_COLUMNS)
+
+
+def incremental_fact_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every fact by service date, each sitting writing only the dates it changed."""
+    warehouse = Warehouse(spark, scratch_path(spark, "fact-dates"))
+    rows = samples.landing(spark, sf_dir)
+    for number in (0, 1, 2):
+        seen = rows if number == 2 else rows.where(F.col("observed_at") < _SITTINGS[number])
+        warehouse.update_observations(seen)
+        warehouse.update_sightings()
+        warehouse.build_facts()
+    counted = [
+        warehouse.fact(name).groupBy("service_date_raw").agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(name).alias("table_name"), "service_date_raw", "row_count")
+        for name in FACTS
+    ]
+    return functools.reduce(DataFrame.unionByName, counted)
+
+
 def too_late_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is held when the middle sitting lands after the last one: older than the lookback, it is not taken in."""
     rows = samples.landing(spark, sf_dir)
@@ -540,6 +572,8 @@ QUERIES: dict[str, Query] = {
     "load_plan": load_plan,
     "stream_backlog_in_batches": stream_backlog_in_batches,
     "repeated_batch": repeated_batch,
+    "stream_snapshots": stream_snapshots,
+    "incremental_fact_dates": incremental_fact_dates,
     "incremental_dim_stations": _incremental_dimension("dim_stations"),
     "incremental_dim_routes": _incremental_dimension("dim_routes"),
     "stream_dimensions": stream_dimensions,

@@ -28,6 +28,7 @@ def read_landing(spark: SparkSession, root: str) -> DataFrame:
         .option("mode", "FAILFAST")
         .option("pathGlobFilter", FILES)
         .json(root)
+        .select(*READ_SCHEMA.fieldNames())
     )
 
 
@@ -40,7 +41,7 @@ def stream_landing(spark: SparkSession, root: str, max_files: int | None = None)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(root)
+    return reader.json(root).select(*READ_SCHEMA.fieldNames())
 
 
 def landed_since(landing: DataFrame, cutoff: int | None) -> DataFrame:
@@ -69,22 +70,35 @@ def with_directories(landing: DataFrame, params: Params = DEFAULTS) -> DataFrame
     )
 
 
-def write_landing(landing: DataFrame, root: str, params: Params = DEFAULTS) -> None:
+def write_landing(landing: DataFrame, root: str, params: Params = DEFAULTS, batch: str | None = None) -> None:
     """Append rows to the landing zone. Files show up when the job commits.
 
+    With ``batch`` they go below a folder of that name, in place of what it had,
+    so the same batch written twice is there once. A landing zone has such
+    folders throughout or not at all.
+
     Rows are gathered by directory first, in partitions that Spark splits where
     one hour is too large and merges where many are small.
     """
     (
         with_directories(landing, params)
         .hint("rebalance", "dt", "hour")
-        .write.mode("append")
+        .write.mode("append" if batch is None else "overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy("dt", "hour")
         .option("compression", "gzip")
-        .json(root)
+        .json(root if batch is None else f"{root}/batch={batch}")
     )
 
 
+def stream_snapshots(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Nested feed messages as files arrive."""
+    reader = spark.readStream.schema(SNAPSHOT_SCHEMA).option("mode", "FAILFAST")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.json(path)
+
+
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Nested feed messages as JSON lines."""
     return spark.read.schema(SNAPSHOT_SCHEMA).option("mode", "FAILFAST").json(path)

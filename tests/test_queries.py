@@ -13,7 +13,8 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="sample tables
 # The rest differ only in what they are composed of; all of them are compared
 # outside the unit tests.
 COMPARED = ["identifier_functions", "clock_functions", "last_sightings", "fct_excess_wait", "dim_stations",
-            "dim_routes", "touched_pairs", "snapshots_to_landing", "weather_rows", "prediction_trace"]
+            "dim_routes", "touched_pairs", "snapshots_to_landing", "weather_rows", "prediction_trace",
+            "stream_snapshots", "incremental_fact_dates"]
 
 
 @pytest.fixture(scope="module")
