@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -26,9 +27,12 @@ from pyspark.sql import DataFrame
 
 from railpulse.llm.common import over_batches, small_batches
 
-# The base patterns of the contract.
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The base patterns of the contract. Those of e-mails and addresses are written so that no run of characters is
+# tried from each of its places: a match that fails at the first of a run fails at all of them.
+_LOCAL = r"[A-Za-z0-9._%+-]"
+EMAIL_HERE = re.compile(_LOCAL + r"++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+EMAIL = re.compile(rf"(?<!{_LOCAL}){EMAIL_HERE.pattern}")
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -97,13 +101,21 @@ def _iban_ok(found: str) -> bool:
     return 15 <= len(plain) <= 34 and mod97(plain)
 
 
+def emails(text: str) -> Iterator[re.Match]:
+    """Addresses from left to right; one may begin inside a run, where the one before it has ended."""
+    at = 0
+    while m := EMAIL_HERE.match(text, at) or EMAIL.search(text, at):
+        yield m
+        at = m.end()
+
+
 def spans(text: str | None) -> list[Span]:
     """All spans of a text, by start, then by kind in the order of ``KINDS``."""
     if not text:
         return []
     proposed = []
     if "@" in text:
-        proposed += [("email", m) for m in EMAIL.finditer(text)]
+        proposed += [("email", m) for m in emails(text)]
     if "." in text:
         proposed += [("ip", m) for m in IP.finditer(text) if _ip_ok(m[0])]
     proposed += [("card", m) for m in CARD.finditer(text) if m.end() - m.start() >= 12 and _card_ok(m[0])]
