@@ -17,7 +17,9 @@ Components are the union of all forests.
 
 Defined cases: vectors that are null, of zero length or norm, or with null or
 non-finite components, link with nothing; vectors of different dimensions do not
-link; repeated vectors link with each other; an empty table gives no rows.
+link; repeated vectors link with each other; an empty table gives no rows. A row
+without vec_id is compared and counted like any other; a component is named by its
+smallest vec_id that is not null, and is null, its rows kept, if it has none.
 """
 
 from __future__ import annotations
@@ -144,11 +146,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         ).select("*", F.xxhash64("embedding").alias("_a"), F.hash(F.reverse("embedding")).alias("_b")),
         "vectors",
     )
+    newest = rows.agg(F.max("vec_id")).first()[0] or 0
     classes = stored(
         rows.where("embedding is not null").groupBy("_a", "_b").agg(
-            F.min(F.struct("vec_id", "embedding")).alias("first"), F.count("*").alias("copies")
-        ).select("_a", "_b", F.col("first.vec_id").alias("class"), "first.embedding", "copies",
-                 F.size("first.embedding").alias("dim")),
+            F.min(F.struct(F.col("vec_id").isNull().alias("unknown"), "vec_id", "embedding")).alias("first"),
+            F.count("*").alias("copies"),
+        ).select("_a", "_b", F.coalesce("first.vec_id", F.lit(newest + 1) + F.monotonically_increasing_id()).alias("class"),
+                 "first.embedding", "copies", F.size("first.embedding").alias("dim")),
         "vector-classes",
     )
     sizes = [(r["dim"], r["n"]) for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()]
@@ -160,7 +164,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     links = found.where("class is not null").groupBy("class").agg(F.sum("links").alias("links"))
     members = with_components(classes.select("class", "_a", "_b", "copies"), found.where("a is not null"), "class")
     members = members.join(links, "class", "left").select(
-        "_a", "_b", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
+        "_a", "_b", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.when(F.col("component_id") <= newest, F.col("component_id")).alias("component_id"),
     )
     linked = rows.where("embedding is not null").join(members, ["_a", "_b"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("embedding is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
