@@ -51,10 +51,18 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def lines_of(text: str | None) -> list[list[str]]:
-    found = (_WORD.findall(line) for line in (text or "").lower().split("\n"))
+    found = (words_of(line) for line in (text or "").lower().split("\n"))
     return [words for words in found if words]
 
 
+def words_of(line: str) -> list[str]:
+    """Maximal runs of letters; fractions, raised and circled digits are none."""
+    runs = _WORD.findall(line)
+    if all(map(str.isalpha, runs)):
+        return runs
+    return "".join(c if c.isalpha() else " " for run in runs for c in (*run, " ")).split()
+
+
 def features(words: list[str], lexicon: frozenset[str]) -> tuple[np.ndarray, np.ndarray]:
     """The distinct buckets of every word's features, word after word, and how many each word has.
 
@@ -177,7 +185,7 @@ class Crf:
 def train(labelled: list[tuple[str, str]], languages: list[str]) -> Crf:
     """A field from chains (line, language) by gradient steps with per-weight rates."""
     index = {name: i for i, name in enumerate(languages)}
-    chains = [(_WORD.findall(line.lower()), index[lang]) for line, lang in labelled]
+    chains = [(words_of(line.lower()), index[lang]) for line, lang in labelled]
     chains = [(w[i:i + CHAIN_WORDS], k) for w, k in chains for i in range(0, len(w), CHAIN_WORDS)]
     rng = np.random.default_rng(7)
     counts: dict[str, int] = {}
