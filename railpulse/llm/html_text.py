@@ -65,14 +65,16 @@ SIBLINGS = {
 }
 FENCES = frozenset("ul ol dl table article section div main body nav aside header footer form".split())
 
+# What stands in a tag: a quote opens a value only after an equals sign, and only if it is closed.
+_ATTRIBUTES = r"(?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?)*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<({'|'.join(RAW)})(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({_ATTRIBUTES})>"
     r"|<[!?/][^>]*>",
     re.S | re.I,
 )
-_SILENT = re.compile(rf"<(/?)({'|'.join(SILENT)})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.I)
+_SILENT = re.compile(rf"<(/?)({'|'.join(SILENT)})(?=[\s/>])({_ATTRIBUTES})>", re.I)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
 _WORD = re.compile(r"\w+")
