@@ -18,6 +18,8 @@ from railpulse.session import scratch_path
 
 SHINGLE_WORDS = 5
 BATCH_ROWS = 512
+BATCH_BYTES = 16 << 20
+HASHED_AT_ONCE = 1 << 20  # bytes of text
 BROADCAST_KEYS = 500_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -33,8 +35,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows that a Python worker holds at once, as texts may be long."""
+    """Bound the rows and bytes that a Python worker holds at once, as texts may be long; one row is never split."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -144,7 +147,15 @@ class Words:
         self.starts = np.flatnonzero(opens)
         self.ends = np.flatnonzero(closes) + 1
         self.first = np.searchsorted(self.starts, offsets)
-        self.hashes = span_hashes(prefix_hashes(_LOWER[data]), self.starts, self.ends)
+        self.hashes = np.zeros(len(self.starts), np.uint64)
+        # A span's hash does not depend on where it begins, so words are hashed some at a time, with sums of their own.
+        at = 0
+        while at < len(self.starts):
+            low = self.starts[at]
+            upto = max(at + 1, int(np.searchsorted(self.ends, low + HASHED_AT_ONCE, "right")))
+            sums = prefix_hashes(_LOWER[data[low:self.ends[upto - 1]]])
+            self.hashes[at:upto] = span_hashes(sums, self.starts[at:upto] - low, self.ends[at:upto] - low)
+            at = upto
 
     def shingles(self, words: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all shingles in order, and the first one of each text.

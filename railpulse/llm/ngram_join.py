@@ -25,9 +25,12 @@ Skew. Equal sets are one class from the start. First each set is compared with o
 holder of each of its ``MINIMA`` smallest hashes, then, if not connected by that,
 with a few more: a family of near copies is connected by about one verified link
 per member, and pairs inside it are not listed. Where two families meet in a bucket, the ``NEAREST`` pairs by sketch
-are verified first. Families that had more and are still apart come back, alone, with ``WIDER`` times as many, until
-none has pairs left: every candidate is verified or already connected. Shingles that very many texts share are rarely
-selected. Which shingles count as common comes from a sample and decides cost only.
+are verified first. Families that had more and are still apart come back, alone, with a print of every set (16 bits of each
+hash) beside its segments. Sets share at most what their prints share, so a bucket counts what two prints share, keeps the
+pairs that this leaves possible and gives the ``NEAREST``: what two families that are not to be linked have in common
+ends there and lists no pairs. Families that nevertheless had more and are apart return with ``WIDER`` times as many,
+until none has pairs left: every candidate is verified, refuted by its prints or already connected. Shingles that very many
+texts share are rarely selected. Which shingles count as common comes from a sample and decides cost only.
 
 Segments travel as packed arrays by bucket of about ``BUCKET_SEGMENTS``.
 
@@ -62,6 +65,8 @@ MAX_COMMON = 200_000
 PAIRWISE = 48  # groups up to this size are paired by array shifts
 NEAREST = 2  # pairs of two families that a bucket gives at first
 WIDER = 16
+COMPARED_AT_ONCE = 1 << 21  # entries of prints
+PRINT_BYTES = 32 << 20  # in a bucket
 
 
 def band_of(size: int) -> int:
@@ -179,6 +184,47 @@ def unpacked(sketches: np.ndarray) -> np.ndarray:
     return np.stack([sketches >> 4, sketches & 15], axis=2).reshape(len(sketches), -1).astype(np.int8)
 
 
+def print_of(hashes: np.ndarray) -> np.ndarray:
+    """16 bits of each of the sorted hashes, in order; two sets share at most as many as their prints do."""
+    return (hashes >> np.uint64(48)).astype(np.uint16)
+
+
+class Prints:
+    """The prints of the sets of a bucket."""
+
+    def __init__(self, values: np.ndarray, sizes: np.ndarray):
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+        self.sizes = sizes
+        # A number that a print has several times counts as several numbers.
+        place = np.arange(len(values))
+        opens = np.ones(len(values), bool)
+        opens[1:] = values[1:] != values[:-1]
+        opens[self.first[:-1][sizes > 0]] = True
+        again = place - np.maximum.accumulate(np.where(opens, place, 0))
+        numbers = np.unique(again << 16 | values, return_inverse=True)[1]
+        self.numbers = numbers.astype(np.int32)
+        self.marked = np.zeros(int(numbers.max()) + 1 if len(numbers) else 0, bool)
+
+    def differences(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Of each pair of sets (a, b), at least; pairs with the same ``a`` are compared together."""
+        shared = np.zeros(len(a), np.int64)
+        order = np.argsort(a, kind="stable")
+        cuts = np.flatnonzero(np.diff(a[order])) + 1
+        for pairs in np.split(order, cuts) if len(order) else []:
+            own = self.numbers[self.first[a[pairs[0]]]:self.first[a[pairs[0]] + 1]]
+            self.marked[own] = True
+            step = max(1, COMPARED_AT_ONCE // max(1, int(self.sizes[b[pairs]].max())))
+            for at in range(0, len(pairs), step):
+                some = pairs[at:at + step]
+                counts = self.sizes[b[some]]
+                ends = np.cumsum(counts)
+                entries = np.arange(ends[-1]) + np.repeat(self.first[b[some]] - ends + counts, counts)
+                hits = np.concatenate([[0], np.cumsum(self.marked[self.numbers[entries]])])
+                shared[some] = hits[ends] - hits[ends - counts]
+            self.marked[own] = False
+        return self.sizes[a] + self.sizes[b] - 2 * shared
+
+
 def verified(pairs: DataFrame, docs: DataFrame, sifted: bool = False) -> DataFrame:
     """The links among candidate ``pairs`` (a, b) of ``docs`` (id, text).
 
@@ -315,8 +361,10 @@ def segments(hashes: np.ndarray, common: np.ndarray, shares: dict[int, float]) -
         yield target, signatures, kinds, int(np.count_nonzero(~costly))
 
 
-def packed_segments(docs: DataFrame, shares: dict[int, float], common: np.ndarray, buckets: dict[int, int]) -> DataFrame:
-    """Rows of packed arrays: the segments of a batch by bucket, and the sets they are of.
+def packed_segments(
+    docs: DataFrame, shares: dict[int, float], common: np.ndarray, buckets: dict[int, int], prints: bool = False
+) -> DataFrame:
+    """Rows of packed arrays: the segments of a batch by bucket, and the sets they are of, with their ``prints`` if asked for.
 
     ``docs`` has id and family beside text.
     """
@@ -325,7 +373,7 @@ def packed_segments(docs: DataFrame, shares: dict[int, float], common: np.ndarra
     for band in sorted(buckets):
         first_bucket[band] = total
         total += buckets[band]
-    names = ["bucket", "single", "ids", "families", "sizes", "rares", "sketches", "owners", "kinds", "signatures"]
+    names = ["bucket", "single", "ids", "families", "sizes", "rares", "sketches", "prints", "owners", "kinds", "signatures"]
     band_at = {first_bucket[b] + i: b for b in buckets for i in range(buckets[b])}
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
@@ -352,10 +400,12 @@ def packed_segments(docs: DataFrame, shares: dict[int, float], common: np.ndarra
             present, at, place = np.unique(owner[a:b], return_index=True, return_inverse=True)
             values = (
                 int(bucket[a]), int(math.isinf(ranges_of(band_at[int(bucket[a])], shares))), ids[present], families[present],
-                sizes[present], rares[a + at], sketches[present], place.astype(np.uint16), kind[a:b], signature[a:b],
+                sizes[present], rares[a + at], sketches[present],
+                np.concatenate([print_of(sets[i]) for i in present]) if prints else b"",
+                place.astype(np.uint16), kind[a:b], signature[a:b],
             )
             for column, value in zip(columns, values):
-                column.append(value if isinstance(value, int) else np.ascontiguousarray(value).tobytes())
+                column.append(value if isinstance(value, (int, bytes)) else np.ascontiguousarray(value).tobytes())
         return pa.RecordBatch.from_arrays(
             [*(pa.array(c, pa.int64()) for c in columns[:2]), *(pa.array(c, pa.binary()) for c in columns[2:])], names
         )
@@ -367,13 +417,14 @@ def packed_segments(docs: DataFrame, shares: dict[int, float], common: np.ndarra
 def candidates_of(signature, kind, owner, sets: dict[str, np.ndarray], single: bool) -> np.ndarray:
     """Distinct candidate pairs (owner, owner) of a bucket, smaller number first.
 
-    ``sets`` has the family, size, number of rare segments and sketch of each owner.
+    ``sets`` has the family, size, number of rare segments and sketch of each owner, and their ``Prints`` or None.
 
     A set selects a segment of common shingles only with all its rare ones. So a pair that meets in such a segment
     meets in a rare one too, or all rare segments of both differ, each by one at least, in which case there must not be
     more of them than the pair may differ by. Where every shingle is a segment these add up.
     """
     families, sizes, rares, sketches = (sets[c] for c in ("families", "sizes", "rares", "sketches"))
+    prints = sets.get("prints")
     order = np.argsort(signature, kind="stable")
     signature, kind, owner = signature[order], kind[order], owner[order]
     opens = np.flatnonzero(np.concatenate([[True], signature[1:] != signature[:-1]])) if len(signature) else np.zeros(0, int)
@@ -396,6 +447,9 @@ def candidates_of(signature, kind, owner, sets: dict[str, np.ndarray], single: b
             some = np.flatnonzero(ok[at:at + (1 << 16)]) + at
             differ = np.abs(sketches[a[some]] - sketches[b[some]]).sum(axis=1, dtype=np.int64)
             ok[some] = 7 * differ <= total[some]
+        if prints is not None:
+            some = np.flatnonzero(ok)
+            ok[some] = 7 * prints.differences(a[some], b[some]) <= total[some]
         return ok
 
     def add(a, b):
@@ -473,6 +527,8 @@ def segment_pairs(packed: DataFrame, buckets: int, most: int) -> DataFrame:
         kind = np.concatenate([np.frombuffer(r["kinds"], np.uint8) for r in rows])
         signature = np.concatenate([np.frombuffer(r["signatures"], np.uint32) for r in rows])
         sets = {"families": np.unique(families, return_inverse=True)[1], "sizes": sizes, "rares": rares, "sketches": sketches}
+        printed = np.frombuffer(b"".join(r["prints"] for r in rows), np.uint16)
+        sets["prints"] = Prints(printed, sizes) if len(printed) else None
         pairs = candidates_of(signature, kind, owner, sets, bool(rows[0]["single"]))
         if not len(pairs):
             return None
@@ -499,6 +555,19 @@ def segment_pairs(packed: DataFrame, buckets: int, most: int) -> DataFrame:
     return found.groupBy("a", "b").agg(F.max("cut").alias("cut"))
 
 
+def printed_buckets(volume: dict[int, tuple[int, int]]) -> dict[int, int]:
+    """Buckets of each band for sets that travel with their prints, from the sums of their sizes and of the squares.
+
+    A band goes whole into one bucket if its prints fit there. Otherwise a set goes, with its print, to as many buckets as
+    it has segments, half its size or so, and the number of buckets is such that a bucket still has no more.
+    """
+    found = {}
+    for band in {*volume, *(b - 1 for b in volume if b > 0)}:
+        total, squares = (sum(volume.get(b, (0, 0))[i] for b in (band, band + 1)) for i in (0, 1))
+        found[band] = 1 if 2 * total <= PRINT_BYTES else -(-squares // PRINT_BYTES)
+    return found
+
+
 # -- the join -----------------------------------------------------------------------------
 
 
@@ -528,19 +597,26 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         b: max(1, -(-(volume.get(b, 0) + volume.get(b + 1, 0) // 4) // (2 * BUCKET_SEGMENTS)))
         for b in {*volume, *(b - 1 for b in volume if b > 0)}
     }
-    links = near.unionByName(far_links(ones, families, near, shares, buckets))
+    links = near.unionByName(far_links(ones, classes.select("id", "n"), families, near, shares, buckets))
     described = rows.join(classes.select("f1", "f2", "n", F.col("id").alias("class")), ["f1", "f2", "n"], "left")
     described = described.select("doc_id", "_k", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("class"))
     return described, links
 
 
-def far_links(ones: DataFrame, families: DataFrame, near: DataFrame, shares: dict[int, float], buckets: dict[int, int]) -> DataFrame:
-    """Links (a, b) that join ``families``, themselves made by the links ``near``, as far as they can be joined."""
-    common, total = common_shingles(ones), sum(buckets.values()) or 1
+def far_links(
+    ones: DataFrame, sizes: DataFrame, families: DataFrame, near: DataFrame, shares: dict[int, float], buckets: dict[int, int]
+) -> DataFrame:
+    """Links (a, b) that join ``families``, themselves made by the links ``near``, as far as they can be joined.
+
+    ``sizes`` has the size n of each set by id.
+    """
+    common = common_shingles(ones)
     labelled, links, found, most = only(ones, families, "id", "left"), near, None, NEAREST
+    printed = False
     while True:
-        packed = packed_segments(labelled.withColumn("family", F.coalesce("family", "id")), shares, common, buckets)
-        pairs = stored(segment_pairs(packed, total, most), "met")
+        packed = packed_segments(
+            labelled.withColumn("family", F.coalesce("family", "id")), shares, common, buckets, prints=printed)
+        pairs = stored(segment_pairs(packed, sum(buckets.values()) or 1, most), "met")
         new = verified(pairs.select("a", "b"), ones, sifted=True)
         found = new if found is None else found.unionByName(new)
         cut = pairs.where("cut").select("a", "b")
@@ -557,8 +633,13 @@ def far_links(ones: DataFrame, families: DataFrame, near: DataFrame, shares: dic
             return found
         members = families.join(apart, "family", "left_semi").unionByName(
             apart.select(F.col("family").alias("id"), "family")).distinct()
-        labelled = only(ones, stored(members, "members"), "id", "inner")
-        most *= WIDER
+        members = stored(members, "members")
+        labelled = only(ones, members, "id", "inner")
+        if printed:
+            most *= WIDER
+        printed = True
+        volume = members.join(sizes, "id").groupBy(band_column().alias("band")).agg(F.sum("n").alias("n"), F.sum(F.expr("n * n")).alias("nn"))
+        buckets = printed_buckets({r["band"]: (r["n"], r["nn"]) for r in volume.collect()})
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -79,6 +79,61 @@ def test_large_groups_are_paired_like_small_ones(monkeypatch):
     assert np.array_equal(small, ngram_join.candidates_of(signature, kind, owner, sets, False))
 
 
+def test_prints_never_overstate_differences():
+    rng = np.random.default_rng(1)
+    pool = rng.integers(0, 1 << 63, 4000).astype(np.uint64) << np.uint64(1)
+    pool[:40] = pool[0] + np.arange(40, dtype=np.uint64)  # many hashes with one print
+    sets = [np.unique(rng.choice(pool, n)) for n in (1, 30, 400, 1500, 3000)] + [pool[:0], np.sort(pool[:40])]
+    sizes = np.array([len(s) for s in sets])
+    prints = ngram_join.Prints(np.concatenate([ngram_join.print_of(s) for s in sets]), sizes)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    exact = np.array([len(np.setxor1d(sets[x], sets[y])) for x, y in zip(a, b)])
+    found = prints.differences(a, b)
+    assert (found <= exact).all() and (found >= 0).all()
+    assert (exact - found <= 0.1 * (sizes[a] + sizes[b]) + 80).all()
+    assert (found[a == b] == 0).all()
+
+
+def test_families_that_nearly_link_list_no_pairs(documents, monkeypatch):
+    """Near copies of two texts that share too little, met in many buckets: prints leave the linked pairs only."""
+    rng = np.random.default_rng(2)
+    base = [f"w{i}" for i in range(300)]
+    other = base[:210] + [f"v{i}" for i in range(90)]  # shares about 0.54 of its shingles
+
+    def copies(words, n):
+        for i in range(n):
+            text = list(words)
+            text[int(rng.integers(0, len(text)))] = f"x{rng.integers(1 << 40)}"
+            yield " ".join(text)
+
+    texts = [*copies(base, 60), *copies(other, 60)]
+    rounds = []
+    plain = ngram_join.packed_segments
+
+    def packed(*args, **named):
+        rounds.append(named.get("prints", False))
+        return plain(*args, **named)
+
+    monkeypatch.setattr(ngram_join, "packed_segments", packed)
+    monkeypatch.setattr(ngram_join, "small_sketch", lambda hashes: np.zeros(1 << ngram_join.SKETCH_BITS - 1, np.uint8))
+    listed = []
+    check = ngram_join.verified
+
+    def verified(pairs, docs, sifted=False):
+        pairs = ngram_join.stored(pairs, "listed")
+        if sifted:
+            listed.append(pairs.count())
+        return check(pairs, docs, sifted)
+
+    monkeypatch.setattr(ngram_join, "verified", verified)
+    found = ngram_join.near_duplicates(documents(list(enumerate(texts)))).collect()
+    sets = [(i, shingles(t)) for i, t in enumerate(texts)]
+    assert {r.doc_id: r.component_id for r in found} == components(sets, near)
+    assert {r.component_id for r in found} == {0, 60}
+    assert rounds == [False, True]
+    assert listed[1] == 0
+
+
 def brute_repeats(texts, length):
     raw = [(t or "").encode() for t in texts]
     count = Counter(b[i:i + length] for b in raw for i in range(len(b) - length + 1))
