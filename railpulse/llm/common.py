@@ -47,6 +47,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def gathered(df: DataFrame, rows: int, each: int = 250_000) -> DataFrame:
+    """``df``, of at most ``rows`` counted rows, in no more partitions than it takes at ``each`` rows in one.
+
+    A shuffle has as many partitions as the largest needs; a small table should not be written as that many files.
+    """
+    return df.coalesce(max(1, -(-rows // each)))
+
+
 def only(rows: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
     """``rows`` joined to a table of few bytes per key.
 

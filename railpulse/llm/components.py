@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from railpulse.llm.common import stored
+from railpulse.llm.common import gathered, stored
 
 MAX_ROUNDS = 60
 
@@ -16,8 +16,9 @@ def connected_components(links: DataFrame) -> DataFrame:
     node on its smallest neighbour, then every smaller one. A node's smallest
     neighbour comes from an aggregation that combines before it shuffles, and is
     joined back to its links, so Spark can split a node with very many of them.
-    Every round ends in a written table. Links of an id to itself or with null
-    are ignored; no links give no rows.
+    Every round ends in a written table, of as many files as the number of links,
+    which never grows, calls for. Links of an id to itself or with null are
+    ignored; no links give no rows.
     """
     edges = stored(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -34,11 +35,9 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = large.where("u > v").distinct()
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u")
-        edges = stored(
-            small.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(lowest.select("u", F.col("m").alias("v"))).where("u > v").distinct(),
-            "edges",
-        )
+        edges = small.select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = edges.unionByName(lowest.select("u", F.col("m").alias("v"))).where("u > v").distinct()
+        edges = stored(gathered(edges, before[0]), "edges")
         after = _state(edges)
         if after == before:
             break
@@ -46,7 +45,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
+    found = edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
+    return gathered(found, 2 * before[0])
 
 
 def _state(edges: DataFrame) -> tuple:

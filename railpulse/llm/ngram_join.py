@@ -49,7 +49,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from railpulse.llm.common import Words, distinct, mixed, only, over_batches, small_batches, stored, utf8
+from railpulse.llm.common import Words, distinct, gathered, mixed, only, over_batches, small_batches, stored, utf8
 from railpulse.llm.components import connected_components, with_components
 
 SINGLES = 128
@@ -67,6 +67,8 @@ NEAREST = 2  # pairs of two families that a bucket gives at first
 WIDER = 16
 COMPARED_AT_ONCE = 1 << 21  # entries of prints
 PRINT_BYTES = 32 << 20  # in a bucket
+COUNTED_PAIRS = 20_000  # in a task, by sketch
+CHECKED_PAIRS = 1000  # in a task, by text
 
 
 def band_of(size: int) -> int:
@@ -232,10 +234,11 @@ def verified(pairs: DataFrame, docs: DataFrame, sifted: bool = False) -> DataFra
     together. Texts travel, not their sets, as they compress and hashes do not.
     """
     pairs = stored(pairs, "candidates")
+    count = pairs.count()
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        return only(docs, stored(wanted, "candidate-ids"), "id", "left_semi").select("id", "text")
+        return only(docs, stored(gathered(wanted, 2 * count), "candidate-ids"), "id", "left_semi").select("id", "text")
 
     def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = sets_of(batch.column("text"))
@@ -273,9 +276,10 @@ def verified(pairs: DataFrame, docs: DataFrame, sifted: bool = False) -> DataFra
     if not sifted:
         known = over_batches(texts_of(pairs), counted, "id long, n long, sketch binary")
         near = brought(pairs, known).select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
-        near = stored(over_batches(near, plausible, "a long, b long"), "plausible")
+        near = stored(over_batches(gathered(near, count, COUNTED_PAIRS), plausible, "a long, b long"), "plausible")
+        count = near.count()
     joined = brought(near, texts_of(near)).select("a", "b", "text_a", "text_b")
-    return stored(over_batches(joined, check, "a long, b long"), "links")
+    return stored(over_batches(gathered(joined, count, CHECKED_PAIRS), check, "a long, b long"), "links")
 
 
 def smallest_hashes(docs: DataFrame) -> DataFrame:
