@@ -19,12 +19,14 @@ is an error, as no sequence could hold it; an empty table gives no rows.
 
 from __future__ import annotations
 
+import string
 import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from railpulse.llm.common import over_batches, small_batches, stored
@@ -33,75 +35,127 @@ SEQUENCE_TOKENS = 4096
 MAX_SEGMENTS = 128
 END_ID = 2
 BUCKET_PIECES = 3072
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 400_000
+ENCODED_AT_ONCE = 4 << 20  # characters of text
+ENCODED_ROWS = 2048
 TOKENIZER = "word_bpe_49k.json"
 JOINED_WORDS = 500
 # Some characters split words here and not in the tokenizer, so such texts go to it whole.
 _UNLIKE = ("\x1c", "\x1d", "\x1e", "\x1f")
-_TRAILING = ".,;:!?"
+# None of these is a letter or a digit, so a run of them at a word's end is tokens of its own.
+_MARKS = string.punctuation
 
 
 class WordEncoder:
     """Token ids of texts, for a tokenizer that drops white space and case and merges within runs of letters only.
 
-    Words are encoded once and remembered, which gives the ids of the whole text. Words of letters alone are encoded
-    many at a time: each ends with the one token of it that carries the mark of a word's end.
+    Texts are split, and the different words of some megabytes of them found, in Arrow. Each is encoded once, which gives
+    the ids of the whole text: runs of letters many at a time, as each ends with the one token of it that carries the mark
+    of a word's end, and punctuation after them by itself. These pieces are remembered, not the words made of them.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same merges for words that are letters in lower case already, where there is nothing left to search for.
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ])
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}  # ids as little-endian 32-bit numbers
 
-    def _whole(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+    def _whole(self, text: str) -> bytes:
+        return _ids_of(self.tokenizer, text)
 
     def _letters(self, words: list[str]) -> None:
         for at in range(0, len(words), JOINED_WORDS):
             part = words[at:at + JOINED_WORDS]
-            ids = self._whole(" ".join(part))
+            joined = " ".join(part)
+            plain = joined.lower() == joined and unicodedata.is_normalized("NFC", joined)
+            ids = _ids_of(self.letters, joined) if plain else self._whole(joined)
             cuts = (4 * np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 4).tolist()
             if len(cuts) == len(part):
                 self.known.update(zip(part, (ids[a:b] for a, b in zip([0, *cuts], cuts))))
             else:
                 self.known.update((w, self._whole(w)) for w in part)
 
-    def learn(self, words: set[str]) -> None:
-        """Remember words; a word of letters with marks after it is the two of them in a row."""
-        cores, marked = set(), []
-        for word in words:
-            core = word.rstrip(_TRAILING)
-            if core.isalpha():
-                if core not in self.known:
-                    cores.add(core)
-                if core != word:
-                    marked.append((word, core, word[len(core):]))
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces."""
+        found = list(map(self.known.get, pieces))
+        missing = [at for at, ids in enumerate(found) if ids is None]
+        if len(self.known) + len(missing) > CACHED_WORDS:
+            self.known = {}
+        new = [pieces[at] for at in missing]
+        self._letters([piece for piece in new if piece.isalpha()])
+        self.known.update((piece, self._whole(piece)) for piece in new if not piece.isalpha())
+        for at, piece in zip(missing, new):
+            found[at] = self.known[piece]
+        return found
+
+    def _words(self, words: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Ids of pieces, and which two of them are the ids of each word."""
+        bare = pc.utf8_rtrim(words, characters=_MARKS)
+        cores = bare.dictionary_encode()
+        first, second = cores.indices.to_numpy().copy(), np.zeros(len(words), np.int32)
+        pieces = _strings(cores.dictionary)
+        places = {"": len(pieces)}
+        second[:] = len(pieces)
+        marked = np.flatnonzero(pc.not_equal(pc.binary_length(words), pc.binary_length(bare)).to_numpy(zero_copy_only=False))
+        for at, word in zip(marked.tolist(), _strings(words.take(pa.array(marked)))):
+            core = pieces[first[at]]
+            # Only after a letter or a digit are marks sure to be tokens of their own.
+            if core and not core[-1].isalpha() and core[-1] not in string.digits:
+                first[at] = places.setdefault(word, len(pieces) + len(places))
             else:
-                self.known[word] = self._whole(word)
-        self._letters(sorted(cores))
-        for word, core, mark in marked:
-            if mark not in self.known:
-                self.known[mark] = self._whole(mark)
-            self.known[word] = self.known[core] + self.known[mark]
+                second[at] = places.setdefault(word[len(core):], len(pieces) + len(places))
+        # A word, or the marks after one, may be a core as well.
+        different = list(dict.fromkeys([*pieces, *places]))
+        if len(different) < len(pieces) + len(places):
+            at = dict(zip(different, range(len(different))))
+            again = np.array([at[piece] for piece in [*pieces, *places]], np.int32)
+            first, second = again[first], again[second]
+        return self._pieces(different), first, second
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        at = 0
+        while at < len(texts):
+            upto, size = at + 1, len(texts[at])
+            while upto < len(texts) and size + len(texts[upto]) <= ENCODED_AT_ONCE:
+                size += len(texts[upto])
+                upto += 1
+            yield from self._encode(texts[at:upto])
+            at = upto
+
+    def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         # Lower case merges words; only where it is sure to be what the tokenizer makes of the text.
         plain = [t.lower() if "\u03a3" not in t and unicodedata.is_normalized("NFC", t) else t for t in texts]
-        split = [t.split() for t in plain]
-        new = set().union(*split) - self.known.keys()
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known, new = {}, set().union(*split)
-        self.learn(new)
-        find = self.known.__getitem__
-        for text, words in zip(texts, split):
-            if any(c in text for c in _UNLIKE) or "<|" in text:
-                yield np.frombuffer(self._whole(text), "<u4")
-            else:
-                yield np.frombuffer(b"".join(map(find, words)), "<u4")
+        unlike = [any(c in t for c in _UNLIKE) or "<|" in t for t in texts]
+        split = pc.utf8_split_whitespace(pa.array(["" if u else t for t, u in zip(plain, unlike)], pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        ids, first, second = self._words(words.dictionary)
+        chosen = words.indices.to_numpy()
+        pieces = np.column_stack([first[chosen], second[chosen]]).ravel()
+        lengths = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        begins = np.cumsum(lengths) - lengths
+        upto = np.concatenate([[0], np.cumsum(lengths[pieces])])
+        places = np.repeat(begins[pieces] - upto[:-1], lengths[pieces]) + np.arange(upto[-1])
+        found = np.frombuffer(b"".join(ids), "<u4")[places]
+        cuts = upto[2 * split.offsets.to_numpy().astype(np.int64)].tolist()
+        for text, whole, a, b in zip(texts, unlike, cuts, cuts[1:]):
+            yield np.frombuffer(self._whole(text), "<u4") if whole else found[a:b]
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _ids_of(tokenizer, text: str) -> bytes:
+    found = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+    return np.array(found[0].ids, "<u4").tobytes()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -115,7 +169,7 @@ def encoder(path: str) -> WordEncoder:
 
 def token_pieces(docs: DataFrame, path: str, size: int = SEQUENCE_TOKENS, end_id: int = END_ID) -> DataFrame:
     """Pieces (doc_id, start, length, ids_crc32, doc_tokens) of all documents."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, ENCODED_ROWS)
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
