@@ -31,7 +31,6 @@ dictionary or index was changed is refused.
 from __future__ import annotations
 
 import hashlib
-import string
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -42,7 +41,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from railpulse.llm.packing import WordEncoder
+from railpulse.llm.packing import ENCODED_ROWS, encoder
 from railpulse.operators.keyed import join_lookup
 from railpulse.session import scratch_path
 
@@ -56,54 +55,19 @@ DICTIONARY_BYTES = 1 << 16
 
 _MAGIC = b"RPTOKEN1"
 _HEADER = struct.Struct("<8s32sIIQQQQQI12x")
-# None of these is a letter or a digit, so a run of them at a word's end is tokens of its own.
-_MARKS = string.punctuation
 
 
 class BadStore(ValueError):
     """The files are not what their header says."""
 
 
-class PieceEncoder(WordEncoder):
-    """Takes letters and the marks after them apart before words are encoded, and asks for ids without offsets."""
-
-    def _whole(self, word: str) -> bytes:
-        found = self.tokenizer.encode_batch_fast([word], add_special_tokens=False)
-        return np.array(found[0].ids, "<u4").tobytes()
-
-    def learn(self, words: set[str]) -> None:
-        known = self.known
-        plain = [w for w in words if w.isalpha()]
-        others = [w for w in words if not w.isalpha()]
-        letters = [w.rstrip(_MARKS) for w in others]
-        bare = {s for s in letters if s.isalpha()}.difference(known).difference(plain)
-        self._letters([*plain, *bare])
-        for word, part in zip(others, letters):
-            marks = word[len(part):]
-            if not part.isalpha():
-                known[word] = self._whole(word)
-                continue
-            if marks not in known:
-                known[marks] = self._whole(marks)
-            known[word] = known[part] + known[marks]
-
-
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
-def encoder(path: str) -> PieceEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
-
-
 def _text_slices(column: pa.Array) -> Iterator[list[str]]:
     """Texts of a batch in lists of about ``BATCH_BYTES``, however many rows that is."""
     held, size = [], 0
     for text in column:
         held.append(text.as_py() or "")
         size += len(held[-1])
-        if size >= BATCH_BYTES or len(held) >= 512:
+        if size >= BATCH_BYTES or len(held) >= ENCODED_ROWS:
             yield held
             held, size = [], 0
     if held:
