@@ -323,15 +323,20 @@ class Warehouse:
             return fresh
         first_day, last_day = span[1], span[2]
         held = stored.where(F.col("observed_date").between(F.lit(first_day), F.lit(last_day)))
-        # Keys are unique on either side of this join, so no key is hot.
-        marked = fresh.alias("fresh").join(
-            held.select(*NATURAL_KEY, preference_key().alias("held_as")).alias("held"),
-            F.expr(" and ".join(f"fresh.{k} <=> held.{k}" for k in NATURAL_KEY)),
-            "left",
-        ).where(
-            F.col("held.held_as").isNull() | (preference_key("fresh") < F.col("held.held_as"))
-        ).select("fresh.*", F.col("held.held_as").isNotNull().alias("replaces"))
-        changes = t.write_and_read(marked, self._work("changes"))
+        # Rows of days that hold nothing are new without a look at what is held.
+        held_days = few(held.select("observed_date").distinct(), LITERAL_DAYS)
+        looked_for = F.lit(True) if held_days is None else F.coalesce(among("observed_date", held_days), F.lit(False))
+        changes = fresh.where(~looked_for).withColumn("replaces", F.lit(False))
+        if held_days is None or held_days:
+            # Keys are unique on either side of this join, so no key is hot.
+            marked = fresh.where(looked_for).alias("fresh").join(
+                held.select(*NATURAL_KEY, preference_key().alias("held_as")).alias("held"),
+                F.expr(" and ".join(f"fresh.{k} <=> held.{k}" for k in NATURAL_KEY)),
+                "left",
+            ).where(
+                F.col("held.held_as").isNull() | (preference_key("fresh") < F.col("held.held_as"))
+            ).select("fresh.*", F.col("held.held_as").isNotNull().alias("replaces"))
+            changes = changes.unionByName(t.write_and_read(marked, self._work("changes")))
 
         if changes.isEmpty():
             return fresh
