@@ -8,6 +8,8 @@ from railpulse.functions import clock, identifiers
 from railpulse.functions.values import empty_to_null, zero_to_null
 from railpulse.operators.keyed import first_per_key, lag_across_slices, measured
 from railpulse.params import DEFAULTS, Params
+from railpulse.plans.tables import write_and_read
+from railpulse.session import scratch_path
 
 _DAY = 86_400
 
@@ -57,34 +59,47 @@ def placed_in_time(snapshots: DataFrame) -> DataFrame:
     return snapshots.where(F.col("header.timestamp") > 0)
 
 
-def last_headers(snapshots: DataFrame, before: DataFrame | None = None) -> DataFrame:
+def header_counts(snapshots: DataFrame) -> DataFrame:
+    """Feed, fetch and header of all snapshots, and how many rows have all three; the messages are not looked at."""
+    return (
+        placed_in_time(snapshots)
+        .groupBy("feed_id", "fetched_at", F.col("header.timestamp").alias("_header"))
+        .agg(F.count(F.lit(1)).alias("_copies"))
+    )
+
+
+def last_headers(
+    snapshots: DataFrame, before: DataFrame | None = None, counted: DataFrame | None = None
+) -> DataFrame:
     """Fetch and header of the newest snapshot of every feed, of ``snapshots`` and those of ``before``.
 
     What a later batch has to know of all batches before it, a row for each feed.
+    ``counted`` are the ``header_counts`` of the snapshots, if they are stored.
     """
-    seen = placed_in_time(snapshots).select("feed_id", "fetched_at", F.col("header.timestamp").alias("_header"))
+    if counted is None:
+        counted = header_counts(snapshots)
+    seen = counted.select("feed_id", "fetched_at", "_header")
     if before is not None:
         seen = seen.unionByName(before)
     newest = seen.groupBy("feed_id").agg(F.max(F.struct("fetched_at", "_header")).alias("last"))
     return newest.select("feed_id", "last.*")
 
 
-def changed_headers(snapshots: DataFrame, before: DataFrame | None = None) -> DataFrame:
+def changed_headers(
+    snapshots: DataFrame, before: DataFrame | None = None, counted: DataFrame | None = None
+) -> DataFrame:
     """Feed, fetch and header of the snapshots to keep, and how many rows have all three.
 
     ``before`` are the ``last_headers`` of earlier batches: the first snapshot of
-    a feed is compared with its row there.
+    a feed is compared with its row there. ``counted`` are the ``header_counts``
+    of the snapshots, if they are stored.
 
     Three columns of the snapshots are read, shuffled and put in order; what
     the messages hold is not. Headers are compared day by day, with each
     day's last one carried to the next, so a feed with a long history is spread
     over its days.
     """
-    headers = (
-        placed_in_time(snapshots)
-        .groupBy("feed_id", "fetched_at", F.col("header.timestamp").alias("_header"))
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
+    headers = header_counts(snapshots) if counted is None else counted
     if before is not None:
         # No copy of these is in the batch; a row that is delivered again comes after its own.
         headers = headers.unionByName(before.withColumn("_copies", F.lit(0).cast("long")))
@@ -96,31 +111,50 @@ def changed_headers(snapshots: DataFrame, before: DataFrame | None = None) -> Da
     return compared.where(changed & (F.col("_copies") > 0)).drop("_before")
 
 
-def suppress_repeats(snapshots: DataFrame, before: DataFrame | None = None) -> DataFrame:
+def _with_headers(headed: DataFrame, kept: DataFrame) -> DataFrame:
+    """The snapshots whose feed, fetch and header are in ``kept``, which is stored."""
+    small = measured(kept)
+    wanted = kept.hint("shuffle_hash") if small is None else F.broadcast(small)
+    return headed.alias("all").join(wanted.alias("kept"), F.expr(
+        "all.feed_id <=> kept.feed_id and all.fetched_at <=> kept.fetched_at and all._header = kept._header"
+    )).select("all.*")
+
+
+def suppress_repeats(
+    snapshots: DataFrame, before: DataFrame | None = None, changed: DataFrame | None = None
+) -> DataFrame:
     """Drop a snapshot whose header is that of the one fetched before it.
 
     Only consecutive repeats of a feed go; A, B, A keeps all three. Which rows
     stay is found from their headers; the messages are then read once, and
-    not sorted. Of rows with the same fetch and header one stays.
+    not sorted. Of rows with the same fetch and header one stays; if there are
+    such rows, the messages are read once more for them.
+
+    ``changed`` are the ``changed_headers``, if they are stored. Otherwise the
+    headers are read once and stored in the scratch folder, since each thing
+    asked of them would work the snapshots out anew.
     """
-    kept = changed_headers(snapshots, before)
-    small = measured(kept)
-    kept = kept if small is None else small
-    wanted = (kept.hint("shuffle_hash") if small is None else F.broadcast(kept)).alias("kept")
-    headed = placed_in_time(snapshots).withColumn("_header", F.col("header.timestamp")).alias("all")
-    found = headed.join(wanted, F.expr(
-        "all.feed_id <=> kept.feed_id and all.fetched_at <=> kept.fetched_at and all._header = kept._header"
-    )).select("all.*", "kept._copies")
-    if not kept.where(F.col("_copies") > 1).isEmpty():
+    if changed is None:
+        spark = snapshots.sparkSession
+        counted = write_and_read(header_counts(snapshots), scratch_path(spark, "headers"))
+        changed = write_and_read(
+            changed_headers(snapshots, before, counted), scratch_path(spark, "changed-headers")
+        )
+    headed = placed_in_time(snapshots).withColumn("_header", F.col("header.timestamp"))
+    copied = changed.where(F.col("_copies") > 1)
+    found = _with_headers(headed, changed.where(F.col("_copies") == 1))
+    if not copied.isEmpty():
         key = ["feed_id", "fetched_at", "_header"]
-        first = first_per_key(found.where(F.col("_copies") > 1), key, [F.xxhash64(F.to_json("entity"))])
-        found = found.where(F.col("_copies") == 1).unionByName(first)
-    return found.drop("_header", "_copies")
+        first = first_per_key(_with_headers(headed, copied), key, [F.xxhash64(F.to_json("entity"))])
+        found = found.unionByName(first)
+    return found.drop("_header")
 
 
-def to_landing(snapshots: DataFrame, before: DataFrame | None = None) -> DataFrame:
+def to_landing(
+    snapshots: DataFrame, before: DataFrame | None = None, changed: DataFrame | None = None
+) -> DataFrame:
     """What a collector writes: placed, changed, flattened."""
-    return flatten(suppress_repeats(snapshots, before))
+    return flatten(suppress_repeats(snapshots, before, changed))
 
 
 def snapshot_profile(snapshots: DataFrame, params: Params = DEFAULTS, next_stops: int = 5) -> DataFrame:

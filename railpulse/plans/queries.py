@@ -355,7 +355,8 @@ def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landing rows of nested snapshots that arrive in three portions, the stream started again for each."""
     prepare(spark)
     root = scratch_path(spark, "collector")
-    messages = samples.snapshots(spark, sf_dir)
+    # Made once, not for each portion.
+    messages = stored.write_and_read(samples.snapshots(spark, sf_dir), f"{root}/made")
     fetched = F.col("fetched_at")
     for part in (
         fetched < _SITTINGS[0], fetched.between(_SITTINGS[0], _SITTINGS[1]), fetched > _SITTINGS[1],

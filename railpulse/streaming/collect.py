@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from railpulse.operators.snapshots import last_headers, to_landing
+from railpulse.operators.snapshots import changed_headers, header_counts, last_headers, to_landing
 from railpulse.params import DEFAULTS, Params
 from railpulse.plans import tables as t
 from railpulse.sources.landing import stream_snapshots, write_landing
@@ -53,8 +53,11 @@ class Collector:
         before = self.before(batch)
         if batch and before is None:
             raise LookupError(f"the headers left by batch {batch - 1} are missing from {self.folder}")
-        write_landing(to_landing(snapshots, before), landing_root, params, batch=f"{self.name()}-{batch}")
-        t.overwrite(last_headers(snapshots, before).coalesce(1), f"{self.folder}/headers/{batch}")
+        # The files of a batch are read for their headers and for their messages, and not again for each question.
+        counted = t.write_and_read(header_counts(snapshots), f"{self.folder}/counted")
+        changed = t.write_and_read(changed_headers(snapshots, before, counted), f"{self.folder}/changed")
+        write_landing(to_landing(snapshots, before, changed), landing_root, params, batch=f"{self.name()}-{batch}")
+        t.overwrite(last_headers(snapshots, before, counted).coalesce(1), f"{self.folder}/headers/{batch}")
         if batch > 1:
             # The batch before this one is committed, and no older one can be asked for.
             t.remove(self.spark, f"{self.folder}/headers/{batch - 2}")

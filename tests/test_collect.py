@@ -7,6 +7,7 @@ from conftest import BASE
 from test_snapshots import message, stop, trip_entity
 
 from railpulse.operators import snapshots
+from railpulse.plans import queries
 from railpulse.schema import LANDING_COLUMNS, SNAPSHOT_SCHEMA
 from railpulse.sources.landing import read_landing, write_landing
 from railpulse.streaming.collect import Collector, follow_snapshots
@@ -71,3 +72,40 @@ def test_a_feed_that_is_silent_keeps_its_header(spark):
     last = snapshots.last_headers(two, snapshots.last_headers(one))
     assert {(r.feed_id, r.fetched_at - BASE, r._header - BASE) for r in last.collect()} == {
         ("g", 0.0, 0), ("ace", 31.0, 30), (None, 40.0, 0)}
+
+
+def counted(spark, rows):
+    """Messages and how often one of them was made, all readings together."""
+    made = spark.sparkContext.accumulator(0)
+
+    def make(row):
+        made.add(1)
+        return row
+
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(make), SNAPSHOT_SCHEMA, verifySchema=False), made
+
+
+@pytest.mark.parametrize("copied", [False, True])
+def test_a_batch_is_read_for_its_headers_and_its_messages(spark, tmp_path, copied):
+    """Rows of one fetch and header have the messages read once more, as one of them has to be chosen."""
+    rows = [message(BASE + n // 2, BASE + n, [trip_entity("1", f"t{n}", [stop("1N", BASE + 100)])]) for n in range(20)]
+    rows += [message(BASE, BASE, [trip_entity("1", "u", [stop("1N", BASE + 100)])])] * copied
+    collector, root = Collector(spark, str(tmp_path / "kept")), str(tmp_path / "landing")
+    batch, made = counted(spark, rows)
+    collector.absorb(batch, 0, root)
+    assert made.value == (3 if copied else 2) * len(rows)
+    assert sum(landed(spark, root).values()) == 10
+    batch, made = counted(spark, rows)
+    assert snapshots.suppress_repeats(batch).count() == 10
+    assert made.value == (3 if copied else 2) * len(rows)
+
+
+def test_portions_are_cut_from_messages_made_once(spark, monkeypatch):
+    first, last = queries._SITTINGS
+    rows = [message(BASE + n, at, [trip_entity("1", f"t{n}", [stop("1N", BASE)])])
+            for n, at in enumerate((first - 1, first, first + 1, last, last + 1))]
+    batch, made = counted(spark, rows)
+    monkeypatch.setattr(queries.samples, "snapshots", lambda spark, sf_dir: batch)
+    found = queries.stream_snapshots(spark, "").collect()
+    assert sorted(r.trip_id for r in found) == ["t0", "t1", "t2", "t3", "t4"]
+    assert made.value == len(rows)
