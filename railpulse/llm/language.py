@@ -45,8 +45,8 @@ EPOCHS = 12
 RATE = 0.3
 RIDGE = 1e-4
 REMEMBERED = 150_000
-CELLS = 8_000_000  # words times languages of the lines handled together
-ROWS = 1024
+CELLS = 1_000_000  # words times languages of the lines handled together
+ROWS = 512
 _WORD = re.compile(r"[^\W\d_]+")
 
 

@@ -49,7 +49,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from railpulse.llm.common import Words, distinct, gathered, mixed, only, over_batches, small_batches, stored, utf8
+from railpulse.llm.common import Words, distinct, gathered, give_back, mixed, only, over_batches, small_batches, stored, utf8
 from railpulse.llm.components import connected_components, with_components
 
 SINGLES = 128
@@ -553,6 +553,8 @@ def segment_pairs(packed: DataFrame, buckets: int, most: int) -> DataFrame:
         found = finish(held) if held else None
         if found is not None:
             yield found
+        held = batch = row = found = None
+        give_back()
 
     dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     found = dealt.mapInArrow(run, "a long, b long, cut boolean").where("a <> b")

@@ -29,14 +29,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from railpulse.llm.common import over_batches, small_batches, stored
+from railpulse.llm.common import give_back, over_batches, small_batches, stored
 
 SEQUENCE_TOKENS = 4096
 MAX_SEGMENTS = 128
 END_ID = 2
 BUCKET_PIECES = 3072
-CACHED_WORDS = 400_000
-ENCODED_AT_ONCE = 4 << 20  # characters of text
+CACHED_WORDS = 200_000
+ENCODED_AT_ONCE = 1 << 20  # characters of text
 ENCODED_ROWS = 2048
 TOKENIZER = "word_bpe_49k.json"
 JOINED_WORDS = 500
@@ -49,7 +49,7 @@ _MARKS = string.punctuation
 class WordEncoder:
     """Token ids of texts, for a tokenizer that drops white space and case and merges within runs of letters only.
 
-    Texts are split, and the different words of some megabytes of them found, in Arrow. Each is encoded once, which gives
+    Texts are split, and the different words of a megabyte of them found, in Arrow. Each is encoded once, which gives
     the ids of the whole text: runs of letters many at a time, as each ends with the one token of it that carries the mark
     of a word's end, and punctuation after them by itself. These pieces are remembered, not the words made of them.
     """
@@ -88,7 +88,8 @@ class WordEncoder:
         found = list(map(self.known.get, pieces))
         missing = [at for at, ids in enumerate(found) if ids is None]
         if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known = {}
+            # Those met again just now stay, so frequent ones are not encoded anew.
+            self.known = {piece: ids for piece, ids in zip(pieces, found) if ids is not None}
         new = [pieces[at] for at in missing]
         self._letters([piece for piece in new if piece.isalpha()])
         self.known.update((piece, self._whole(piece)) for piece in new if not piece.isalpha())
@@ -277,6 +278,8 @@ def pack(
                 held.append(batch.slice(a, b - a))
         if held:
             yield finish(pa.Table.from_batches(held))
+        held = batch = None
+        give_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     return dealt.mapInArrow(run, f"{schema}, sequence_id long, offset long")

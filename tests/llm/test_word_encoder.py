@@ -1,5 +1,8 @@
 """Ids found piece by piece are those of the whole text, and no piece is encoded for every word it occurs in."""
 
+import random
+import tracemalloc
+
 import pytest
 
 from railpulse.llm import packing
@@ -28,3 +31,26 @@ def test_marks_after_a_word_are_not_encoded_with_it():
     encoder = packing.WordEncoder(tokenizer_path())
     list(encoder.encode([" ".join(core + mark for core in cores for mark in marks)]))
     assert len(encoder.known) <= len(cores) + len(marks) + 1
+
+
+def test_memory_does_not_grow_with_the_texts_given_at_once():
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abcdefgh", k=6)) for _ in range(2000)]
+    texts = [" ".join(draw.choices(words, k=5000)) for _ in range(110)]  # 3.8 million characters
+    encoder = packing.WordEncoder(tokenizer_path())
+    list(encoder.encode([" ".join(words)]))
+    tracemalloc.start()
+    try:
+        for _ in encoder.encode(texts):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_full_cache_keeps_the_pieces_just_met(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 4)
+    encoder = packing.WordEncoder(tokenizer_path())
+    list(encoder.encode(["often one two"]))
+    list(encoder.encode(["often three four five"]))
+    assert "often" in encoder.known and "one" not in encoder.known
